@@ -124,6 +124,8 @@ EPISODES = Table("episodes_enriched", (
     Field("seriesNumVotes", "bigint"),
     Field("start_decade", limit=16)),
     partition_by=("start_decade",),
+    # rows of one series lie together, so its repeated columns compress well
+    sort_by=("parentTconst",),
     bucket_by="parentTconst", buckets=8)
 
 CREDITS = Table("cast_credits", (
@@ -140,6 +142,7 @@ CREDITS = Table("cast_credits", (
     Field("numVotes", "bigint"),
     Field("category", limit=50, required=True)),
     partition_by=("category",),
+    sort_by=("tconst",),
     bucket_by="tconst", buckets=16)
 
 GOLD = (TITLES, EPISODES, CREDITS)

@@ -23,7 +23,7 @@ def read_delimited(
     Columns are bound by position; ``strict_header`` rejects files whose header
     disagrees. Short rows are padded with NULL, extra fields dropped and
     unreadable typed cells read as NULL; ``corrupt_column`` keeps the raw line
-    of such rows. Quoting is off by default because tab-separated dumps do not
+    of such rows (cells are checked only in the columns a query reads). Quoting is off by default because tab-separated dumps do not
     quote: with ``quote='"'`` a title that starts with a stray quote swallows
     the fields after it. Plain files split by ``spark.sql.files.maxPartitionBytes``;
     compressed ones do not, so unpack or split large archives before reading.

@@ -1,0 +1,83 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from playbill.operators import enrich, frequent_keys, orphans, with_role
+from tests.helpers import plan, rows, same_rows
+
+
+def test_enrich_keeps_unmatched_rows_and_flags_values(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, n int")
+    dim = spark.createDataFrame([("a", 7.5), ("b", None), (None, 1.0)], "k string, r double")
+    got = enrich(df, dim, "k", ("has_r", "r"))
+    assert got.columns == ["k", "n", "r", "has_r"]
+    assert rows(got) == [("a", 1, 7.5, True), ("b", 2, None, False), ("c", 3, None, False),
+                         (None, 4, None, False)]
+
+
+def _skewed(spark, tmp_path):
+    """A dimension in which one key holds most rows, many of them copies."""
+    random.seed(7)
+    dim = [("hot", random.choice([1.0, 2.0]), i % 3) for i in range(600)]
+    dim += [(f"k{i}", float(i), i) for i in range(150)] + [(None, 0.0, 0)] * 5
+    df = [("hot", "x"), ("hot", "y"), (None, "z"), ("absent", "w")]
+    df += [(f"k{i}", "v") for i in range(0, 300, 2)]
+    spark.createDataFrame(dim, "k string, r double, n int").repartition(5).write.parquet(
+        f"{tmp_path}/dim")
+    return (spark.createDataFrame(df, "k string, t string"),
+            spark.read.parquet(f"{tmp_path}/dim"))
+
+
+@pytest.mark.parametrize("salts", [1, 3, 64, 2000])
+def test_salted_enrichment_equals_the_plain_join(spark, tmp_path, salts):
+    df, dim = _skewed(spark, tmp_path)
+    hot = frequent_keys(dim, "k", support=0.1, min_rows=100)
+    assert hot == ["hot"]
+    plain = enrich(df, dim, "k", ("rated", "r"))
+    salted = enrich(df, dim, "k", ("rated", "r"), hot, salts)
+    assert salted.columns == plain.columns
+    assert salted.count() == 1200 + 1 + 1 + 150
+    assert same_rows(salted, plain)
+
+
+def test_salting_spreads_the_hot_key(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    df, dim = _skewed(spark, tmp_path)
+
+    def largest(joined):
+        sizes = joined.groupBy(F.spark_partition_id()).count()
+        return sizes.agg(F.max("count")).first()[0]
+
+    assert largest(enrich(df, dim, "k")) >= 1200
+    assert largest(enrich(df, dim, "k", hot_keys=["hot"], salts=64)) < 400
+
+
+def test_frequent_keys_ignores_null_and_small_tables(spark, tmp_path):
+    _, dim = _skewed(spark, tmp_path)
+    assert frequent_keys(dim, "k") == []
+    assert frequent_keys(dim.where("k is null"), "k", min_rows=1) == []
+    assert frequent_keys(dim.where("k <> 'hot'"), "k", support=0.1, min_rows=1) == []
+
+
+def test_one_dimension_in_two_roles(spark):
+    fact = spark.createDataFrame([("a", "b"), ("b", "b"), ("a", "gone"), ("a", None)],
+                                 "child string, parent string")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "id string, name string")
+    got = fact.transform(with_role, dim, "child", "id", {"name": "childName"}).transform(
+        with_role, dim, "parent", "id", {"name": "parentName"})
+    assert rows(got) == [("a", "b", "A", "B"), ("b", "b", "B", "B")]
+    optional = fact.transform(with_role, dim, "parent", "id", {"name": "n"}, "left")
+    assert rows(optional, "parent", "n") == [
+        ("b", "B"), ("b", "B"), ("gone", None), (None, None)]
+
+
+def test_orphans_complement_the_lookup(spark):
+    fact = spark.createDataFrame([("a",), ("x",), (None,), ("x",)], "k string")
+    dim = spark.createDataFrame([("a",), ("b",)], "id string")
+    lost = orphans(fact, dim, "k", "id")
+    assert rows(lost) == [("x",), ("x",), (None,)]
+    assert lost.count() + with_role(fact, dim, "k", "id", {}).count() == fact.count()
+    assert "LeftAnti" in plan(lost)
