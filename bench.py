@@ -24,7 +24,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from contract import standin  # noqa: E402
 from playbill import SUITE, publish_gold, run_gold, run_query, run_silver, workspace  # noqa: E402
 from playbill import schemas as S  # noqa: E402
-from playbill.sources import read_layer, register_views, write_delimited  # noqa: E402
+from playbill.sources import read_layer, register_views  # noqa: E402
 
 RUNS = 3
 
@@ -67,15 +67,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     jobs: dict[str, float] = {}
-    lake = standin.Lake(root or workspace(spark))
+    given = multiplied(standin.tables(spark, sf_dir), copies)
+    lake = standin.Lake(spark, given, root or workspace(spark))
     if not root:
-        given = multiplied(standin.tables(spark, sf_dir), copies)
-
-        def write_raw() -> None:
-            for name, df in standin.bronze_frames(given).items():
-                write_delimited(df, f"{lake.bronze}/{name}")
-
-        jobs["write_raw"] = timed(write_raw)
+        jobs["write_raw"] = timed(lambda: lake.with_raw(*S.BRONZE))
         jobs["silver"] = timed(lambda: run_silver(spark, lake.bronze, lake.silver))
         jobs["gold"] = timed(lambda: run_gold(spark, lake.silver, lake.gold))
         if os.environ.get("BENCH_PUBLISH", "1") == "1":

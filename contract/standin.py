@@ -7,15 +7,14 @@ items become credits and suppliers people. Every row of the tables is used.
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill import run_all, workspace
-from playbill.schemas import (
-    RAW_CREDITS, RAW_EPISODES, RAW_PEOPLE, RAW_RATINGS, RAW_TITLES,
-)
+from playbill import run_gold, run_silver, workspace
+from playbill import schemas as S
+from playbill.plans.layers import CLEANERS, MART_INPUTS, at_once
 from playbill.sources import write_delimited
 
 
@@ -130,53 +129,73 @@ def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
     people = given["supplier"].select(
         _padded("nm", F.col("s_suppkey"), 7).alias("nconst"),
         F.concat(F.lit("Person "), _text(F.col("s_suppkey") % 60)).alias("primaryName"),
-        *[null.alias(c) for c in RAW_PEOPLE.columns[2:]],
+        *[null.alias(c) for c in S.RAW_PEOPLE.columns[2:]],
     )
     return {
-        RAW_TITLES.name: of_orders.unionAll(of_lines),
-        RAW_RATINGS.name: order_ratings.unionAll(line_ratings),
-        RAW_EPISODES.name: episodes,
-        RAW_CREDITS.name: credits,
-        RAW_PEOPLE.name: people,
+        S.RAW_TITLES.name: of_orders.unionAll(of_lines),
+        S.RAW_RATINGS.name: order_ratings.unionAll(line_ratings),
+        S.RAW_EPISODES.name: episodes,
+        S.RAW_CREDITS.name: credits,
+        S.RAW_PEOPLE.name: people,
     }
 
 
-@dataclass(frozen=True)
 class Lake:
-    """Directories of one stand-in run."""
-
-    root: str
-
-    @property
-    def bronze(self) -> str:
-        return f"{self.root}/bronze"
-
-    @property
-    def silver(self) -> str:
-        return f"{self.root}/silver"
-
-    @property
-    def gold(self) -> str:
-        return f"{self.root}/gold"
-
-
-def write_bronze(spark: SparkSession, sf_dir: str, bronze: str) -> None:
-    """Write the stand-in as raw text files."""
-    for name, df in bronze_frames(tables(spark, sf_dir)).items():
-        write_delimited(df, f"{bronze}/{name}")
-
-
-_built: dict[tuple[str, str], Lake] = {}
+    """Layers of the stand-in, each table built from whole inputs when first asked for."""
+
+    def __init__(self, spark: SparkSession, given: dict[str, DataFrame], root: str):
+        self.spark, self.root = spark, root
+        self.bronze, self.silver, self.gold = (
+            f"{root}/{layer}" for layer in ("bronze", "silver", "gold"))
+        self._frames = bronze_frames(given)
+        self._done: set[str] = set()
+        self._lock = threading.RLock()
+
+    def _missing(self, tables: Collection[S.Table]) -> list[S.Table]:
+        return [t for t in tables if t.name not in self._done]
+
+    def _finish(self, tables: Collection[S.Table]) -> None:
+        self._done.update(t.name for t in tables)
+
+    def with_raw(self, *tables: S.Table) -> str:
+        """The raw folder, with text files for ``tables``."""
+        with self._lock:
+            todo = self._missing(tables)
+            at_once(lambda t: write_delimited(
+                self._frames[t.name].select(*t.columns), f"{self.bronze}/{t.name}"), todo)
+            self._finish(todo)
+        return self.bronze
+
+    def with_silver(self, *tables: S.Table) -> str:
+        """The Silver folder, with ``tables``."""
+        with self._lock:
+            todo = self._missing(tables)
+            if todo:
+                self.with_raw(*(raw for raw, t, _ in CLEANERS if t in todo))
+                run_silver(self.spark, self.bronze, self.silver, todo)
+            self._finish(todo)
+        return self.silver
+
+    def with_gold(self, *marts: S.Table) -> str:
+        """The Gold folder, with ``marts``."""
+        with self._lock:
+            todo = self._missing((S.TITLES, *marts))
+            if todo:
+                inputs = {t: None for mart in todo for t in MART_INPUTS[mart]}
+                self.with_silver(*inputs)
+                run_gold(self.spark, self.silver, self.gold, dict.fromkeys(todo))
+            self._finish(todo)
+        return self.gold
+
+
+_lakes: dict[tuple[str, str], Lake] = {}
 _lock = threading.Lock()
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """Raw text, Silver and Gold of the whole stand-in, built once per application."""
+    """The stand-in over ``sf_dir``, kept for the life of the application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     with _lock:
-        if key not in _built:
-            made = Lake(workspace(spark))
-            write_bronze(spark, sf_dir, made.bronze)
-            run_all(spark, made.bronze, made.silver, made.gold)
-            _built[key] = made
-        return _built[key]
+        if key not in _lakes:
+            _lakes[key] = Lake(spark, tables(spark, sf_dir), workspace(spark))
+        return _lakes[key]

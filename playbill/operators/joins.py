@@ -14,20 +14,25 @@ from pyspark.sql import functions as F
 
 
 def frequent_keys(
-    df: DataFrame, key: str, support: float = 0.01, min_rows: int = 1_000_000
+    df: DataFrame,
+    key: str,
+    support: float = 0.01,
+    min_rows: int = 1_000_000,
+    fraction: float = 0.01,
 ) -> list:
     """Values of ``key`` that hold at least ``support`` of all rows.
 
-    ``freqItems`` names at most ``1 / support`` candidates per pass, a bound that
-    does not grow with the data; their exact counts then decide. Keys with
-    fewer than ``min_rows`` rows are never reported: one task can take them.
+    A sample names the candidates, at most ``2 / support`` of them however large
+    the data; their exact counts then decide. Keys with fewer than ``min_rows``
+    rows are never reported, since one task can take them.
     """
     keys = df.select(key).where(F.col(key).isNotNull())
-    candidates = keys.stat.freqItems([key], support).first()[0] or []
+    floor = max(min_rows, support * df.count())
+    sampled = keys.sample(fraction, seed=0).groupBy(key).count()
+    candidates = sampled.where(F.col("count") >= floor * fraction / 2).collect()
     if not candidates:
         return []
-    floor = max(min_rows, support * df.count())
-    counted = keys.where(F.col(key).isin(candidates)).groupBy(key).count()
+    counted = keys.where(F.col(key).isin([r[0] for r in candidates])).groupBy(key).count()
     return [r[0] for r in counted.where(F.col("count") >= floor).collect()]
 
 

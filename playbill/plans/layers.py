@@ -6,9 +6,10 @@ lost executor costs a re-read of Parquet, not a re-parse of text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,8 @@ from playbill.operators import (
 )
 from playbill.sources import read_delimited, read_layer, write_layer
 
+T = TypeVar("T")
+
 # raw file -> Silver table and the cleaner between them
 CLEANERS: tuple[tuple[S.Table, S.Table, Callable[[DataFrame], DataFrame]], ...] = (
     (S.RAW_TITLES, S.SILVER_TITLES, clean_titles),
@@ -29,42 +32,61 @@ CLEANERS: tuple[tuple[S.Table, S.Table, Callable[[DataFrame], DataFrame]], ...]
     (S.RAW_PEOPLE, S.SILVER_PEOPLE, clean_people),
 )
 
+# mart -> the Silver tables it reads (besides the titles mart)
+MART_INPUTS: dict[S.Table, tuple[S.Table, ...]] = {
+    S.TITLES: (S.SILVER_TITLES, S.SILVER_RATINGS),
+    S.EPISODES: (S.SILVER_EPISODES,),
+    S.CREDITS: (S.SILVER_CREDITS, S.SILVER_PEOPLE),
+}
+
 
 def read_raw(spark: SparkSession, bronze: str, table: S.Table, **options) -> DataFrame:
     """One raw file under its declared schema."""
     return read_delimited(spark, f"{bronze}/{table.name}", table.ddl, **options)
 
 
-def _write_all(root: str, tables: list[tuple[S.Table, DataFrame]]) -> None:
-    """Write independent tables at the same time, so none waits for stragglers."""
-    def write(item: tuple[S.Table, DataFrame]) -> None:
-        table, df = item
-        write_layer(df.select(*table.columns), f"{root}/{table.name}",
-                    table.partition_by, sort_by=table.sort_by)
-
-    with ThreadPoolExecutor(len(tables)) as pool:
-        list(pool.map(write, tables))
-
-
-def run_silver(spark: SparkSession, bronze: str, silver: str) -> None:
-    """Clean the five raw files. All must exist before anything is written."""
-    _write_all(silver, [
-        (table, clean(read_raw(spark, bronze, raw))) for raw, table, clean in CLEANERS
-    ])
-
-
-def run_gold(spark: SparkSession, silver: str, gold: str) -> None:
-    """Build the marts; episodes and credits read the finished titles mart."""
-    basics, ratings, episodes, principals, people = (
-        read_layer(spark, silver, t) for t in S.SILVER
-    )
-    hot = frequent_keys(ratings, "tconst")
-    _write_all(gold, [(S.TITLES, enrich_titles(basics, ratings, hot))])
+def at_once(action: Callable[[T], object], items: Collection[T]) -> None:
+    """Submit independent jobs together, so none waits for another's stragglers."""
+    if items:
+        with ThreadPoolExecutor(len(items)) as pool:
+            list(pool.map(action, items))
+
+
+def _write(root: str, table: S.Table, df: DataFrame) -> None:
+    write_layer(df.select(*table.columns), f"{root}/{table.name}",
+                table.partition_by, sort_by=table.sort_by)
+
+
+def run_silver(
+    spark: SparkSession, bronze: str, silver: str, tables: Collection[S.Table] = S.SILVER
+) -> None:
+    """Clean the raw files into ``tables``. All must exist before any is written."""
+    cleaned = [
+        (table, clean(read_raw(spark, bronze, raw)))
+        for raw, table, clean in CLEANERS if table in tables
+    ]
+    at_once(lambda item: _write(silver, *item), cleaned)
+
+
+def run_gold(
+    spark: SparkSession, silver: str, gold: str, marts: Collection[S.Table] = S.GOLD
+) -> None:
+    """Build ``marts``; episodes and credits read the finished titles mart."""
+    read = partial(read_layer, spark, silver)
+    if S.TITLES in marts:
+        ratings = read(S.SILVER_RATINGS)
+        hot = frequent_keys(ratings, "tconst")
+        _write(gold, S.TITLES, enrich_titles(read(S.SILVER_TITLES), ratings, hot))
+    if set(marts) == {S.TITLES}:
+        return
     titles = read_layer(spark, gold, S.TITLES)
-    _write_all(gold, [
-        (S.EPISODES, enrich_episodes(episodes, titles)),
-        (S.CREDITS, enrich_credits(principals, titles, people)),
-    ])
+    others: list[tuple[S.Table, DataFrame]] = []
+    if S.EPISODES in marts:
+        others.append((S.EPISODES, enrich_episodes(read(S.SILVER_EPISODES), titles)))
+    if S.CREDITS in marts:
+        others.append((S.CREDITS, enrich_credits(
+            read(S.SILVER_CREDITS), titles, read(S.SILVER_PEOPLE))))
+    at_once(lambda item: _write(gold, *item), others)
 
 
 def run_all(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:

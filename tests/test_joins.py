@@ -29,10 +29,16 @@ def _skewed(spark, tmp_path):
             spark.read.parquet(f"{tmp_path}/dim"))
 
 
+def test_a_sample_finds_hot_keys(spark):
+    df = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    assert frequent_keys(df, "k", min_rows=1000) == [-1]
+
+
 @pytest.mark.parametrize("salts", [1, 3, 64, 2000])
 def test_salted_enrichment_equals_the_plain_join(spark, tmp_path, salts):
     df, dim = _skewed(spark, tmp_path)
-    hot = frequent_keys(dim, "k", support=0.1, min_rows=100)
+    hot = frequent_keys(dim, "k", support=0.1, min_rows=100, fraction=1.0)
     assert hot == ["hot"]
     plain = enrich(df, dim, "k", ("rated", "r"))
     salted = enrich(df, dim, "k", ("rated", "r"), hot, salts)
@@ -58,8 +64,37 @@ def test_salting_spreads_the_hot_key(spark, tmp_path, conf):
 def test_frequent_keys_ignores_null_and_small_tables(spark, tmp_path):
     _, dim = _skewed(spark, tmp_path)
     assert frequent_keys(dim, "k") == []
-    assert frequent_keys(dim.where("k is null"), "k", min_rows=1) == []
-    assert frequent_keys(dim.where("k <> 'hot'"), "k", support=0.1, min_rows=1) == []
+    assert frequent_keys(dim.where("k is null"), "k", min_rows=1, fraction=1.0) == []
+    assert frequent_keys(dim.where("k <> 'hot'"), "k", support=0.1, min_rows=1, fraction=1.0) == []
+
+
+def _hot_facts(spark, tmp_path):
+    """Facts of which a third have one key, in several files, and their dimension."""
+    spark.range(0, 60_000, numPartitions=12).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.concat(F.lit("payload "), F.col("id")).alias("text"),
+    ).write.parquet(f"{tmp_path}/facts")
+    spark.range(-1, 60_000).withColumn("name", F.concat(F.lit("n"), "id")).write.parquet(
+        f"{tmp_path}/dim")
+    return (spark.read.parquet(f"{tmp_path}/{t}") for t in ("facts", "dim"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_adaptive_execution_splits_hot_fact_keys(spark, tmp_path, conf, how):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    conf("spark.sql.shuffle.partitions", "16")
+    facts, dim = _hot_facts(spark, tmp_path)
+    got = with_role(facts, dim, "k", "id", {"name": "name"}, how)
+    got.collect()
+    assert "SortMergeJoin(skew=true)" in plan(got).split("Initial Plan")[0]
+    # maxima keep both payload columns in the shuffles
+    per_task = got.groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("rows"), F.max("text"), F.max("name"))
+    assert per_task.agg(F.max("rows")).first()[0] < 20_000
+    assert got.count() == 60_000
 
 
 def test_one_dimension_in_two_roles(spark):

@@ -1,10 +1,12 @@
 import pytest
 
 from contract import standin
-from playbill import publish_gold, run_all, run_silver, workspace
+from playbill import publish_gold, run_all, run_gold, run_silver, workspace
 from playbill.operators import audit_counts, clean_episodes
 from playbill.plans.layers import read_raw
-from playbill.schemas import BRONZE, GOLD, RAW_EPISODES, SILVER, SILVER_EPISODES
+from playbill.schemas import (
+    BRONZE, CREDITS, EPISODES, GOLD, RAW_EPISODES, SILVER, SILVER_EPISODES, TITLES,
+)
 from playbill.__main__ import main
 from playbill.session import JOB_CONF, job_session, shuffle_partitions
 from playbill.sources import read_layer
@@ -15,7 +17,11 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def lake(spark):
-    return standin.lake(spark, SF_DIR)
+    made = standin.lake(spark, SF_DIR)
+    made.with_raw(*BRONZE)
+    made.with_silver(*SILVER)
+    made.with_gold(*GOLD)
+    return made
 
 
 def _counts(spark, root, tables):
@@ -51,6 +57,16 @@ def test_layers_are_partitioned_as_declared(spark, lake, tmp_path):
             assert found == set(table.partition_by)
 
 
+def test_single_tables_and_marts_can_be_built(spark, lake, tmp_path):
+    run_silver(spark, lake.bronze, f"{tmp_path}/silver", [SILVER_EPISODES])
+    assert [p.name for p in (tmp_path / "silver").iterdir()] == ["title_episode"]
+    run_gold(spark, lake.silver, f"{tmp_path}/gold", [TITLES])
+    run_gold(spark, lake.silver, f"{tmp_path}/gold", [CREDITS])
+    assert _counts(spark, f"{tmp_path}/gold", [TITLES, CREDITS]) == _counts(
+        spark, lake.gold, [TITLES, CREDITS])
+    assert not (tmp_path / "gold" / EPISODES.name).exists()
+
+
 def test_missing_raw_file_stops_before_any_write(spark, tmp_path):
     bronze, silver = tmp_path / "bronze", tmp_path / "silver"
     bronze.mkdir()
