@@ -340,13 +340,13 @@ def topk_groups(spark, sf_dir):
 @_register
 def topk_hidden_key(spark, sf_dir):
     return op.top_keys(
-        _gold(spark, sf_dir, S.EPISODES), "parentTconst", F.max("seriesNumVotes"), 10)
+        _gold(spark, sf_dir, S.EPISODES), "parentTconst", "seriesNumVotes", 10)
 
 
 @_register
 def topk_semi_join(spark, sf_dir):
     return op.keep_top_groups(
-        _gold(spark, sf_dir, S.EPISODES), "parentTconst", F.max("seriesNumVotes"), 10
+        _gold(spark, sf_dir, S.EPISODES), "parentTconst", "seriesNumVotes", 10
     ).select("tconst", "parentTconst", "seasonNumber", "episodeNumber")
 
 

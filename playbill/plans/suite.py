@@ -31,7 +31,7 @@ def top_movies(
 def season_episodes(episodes: DataFrame, k: int = 10) -> DataFrame:
     """Episodes per season of the ``k`` series with the most votes."""
     return (
-        keep_top_groups(episodes, "parentTconst", F.max("seriesNumVotes"), k)
+        keep_top_groups(episodes, "parentTconst", "seriesNumVotes", k)
         .groupBy("seriesTitle", "seasonNumber")
         .agg(F.count("*").alias("episode_count"))
         .orderBy("seriesTitle", "seasonNumber")
