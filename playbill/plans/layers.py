@@ -22,6 +22,12 @@ from playbill.operators import (
 from playbill.sources import read_delimited, read_layer, write_layer
 
 T = TypeVar("T")
+R = TypeVar("R")
+
+# From this many rows on, a mart with few partition values is written straight
+# from its join. Each task then has enough rows for a good file per value, and
+# gathering the values first would shuffle the widest rows of the whole run.
+DIRECT_ROWS = 1_000_000_000
 
 # raw file -> Silver table and the cleaner between them
 CLEANERS: tuple[tuple[S.Table, S.Table, Callable[[DataFrame], DataFrame]], ...] = (
@@ -45,16 +51,15 @@ def read_raw(spark: SparkSession, bronze: str, table: S.Table, **options) -> Dat
     return read_delimited(spark, f"{bronze}/{table.name}", table.ddl, **options)
 
 
-def at_once(action: Callable[[T], object], items: Collection[T]) -> None:
+def at_once(action: Callable[[T], R], items: Collection[T]) -> list[R]:
     """Submit independent jobs together, so none waits for another's stragglers."""
-    if items:
-        with ThreadPoolExecutor(len(items)) as pool:
-            list(pool.map(action, items))
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return list(pool.map(action, items))
 
 
-def _write(root: str, table: S.Table, df: DataFrame) -> None:
+def _write(root: str, table: S.Table, df: DataFrame, balance: bool = True) -> None:
     write_layer(df.select(*table.columns), f"{root}/{table.name}",
-                table.partition_by, sort_by=table.sort_by)
+                table.partition_by, balance, table.sort_by)
 
 
 def run_silver(
@@ -69,7 +74,11 @@ def run_silver(
 
 
 def run_gold(
-    spark: SparkSession, silver: str, gold: str, marts: Collection[S.Table] = S.GOLD
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    marts: Collection[S.Table] = S.GOLD,
+    direct_rows: int = DIRECT_ROWS,
 ) -> None:
     """Build ``marts``; episodes and credits read the finished titles mart."""
     read = partial(read_layer, spark, silver)
@@ -80,13 +89,19 @@ def run_gold(
     if set(marts) == {S.TITLES}:
         return
     titles = read_layer(spark, gold, S.TITLES)
-    others: list[tuple[S.Table, DataFrame]] = []
+    joined: list[tuple[S.Table, DataFrame, DataFrame]] = []
     if S.EPISODES in marts:
-        others.append((S.EPISODES, enrich_episodes(read(S.SILVER_EPISODES), titles)))
+        episodes = read(S.SILVER_EPISODES)
+        joined.append((S.EPISODES, episodes, enrich_episodes(episodes, titles)))
     if S.CREDITS in marts:
-        others.append((S.CREDITS, enrich_credits(
-            read(S.SILVER_CREDITS), titles, read(S.SILVER_PEOPLE))))
-    at_once(lambda item: _write(gold, *item), others)
+        credits, people = read(S.SILVER_CREDITS), read(S.SILVER_PEOPLE)
+        joined.append((S.CREDITS, credits, enrich_credits(credits, titles, people)))
+
+    def write(item: tuple[S.Table, DataFrame, DataFrame]) -> None:
+        mart, fact, rows = item
+        _write(gold, mart, rows, balance=fact.count() < direct_rows)
+
+    at_once(write, joined)
 
 
 def run_all(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
@@ -105,6 +120,6 @@ def publish_gold(
 ) -> DataFrame:
     """Publish the three marts; returns one audit row per mart."""
     ensure_database(spark, database, location)
-    return reduce(DataFrame.unionAll, [
-        publish(read_layer(spark, gold, t), t, database, mode, **limits) for t in S.GOLD
-    ])
+    audits = at_once(
+        lambda t: publish(read_layer(spark, gold, t), t, database, mode, **limits), S.GOLD)
+    return reduce(DataFrame.unionAll, audits)

@@ -9,7 +9,7 @@ from playbill.schemas import (
 )
 from playbill.__main__ import main
 from playbill.session import JOB_CONF, job_session, shuffle_partitions
-from playbill.sources import read_layer
+from playbill.sources import partition_files, read_layer
 from tests.helpers import rows, same_rows, write_text
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -67,6 +67,22 @@ def test_single_tables_and_marts_can_be_built(spark, lake, tmp_path):
     assert not (tmp_path / "gold" / EPISODES.name).exists()
 
 
+def test_large_marts_are_written_without_another_shuffle(spark, lake, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    run_gold(spark, lake.silver, f"{tmp_path}/gold", [TITLES])
+    files = {}
+    for direct_rows in (0, 1_000_000_000):
+        run_gold(spark, lake.silver, f"{tmp_path}/gold", [EPISODES, CREDITS], direct_rows)
+        for mart in (EPISODES, CREDITS):
+            got = read_layer(spark, f"{tmp_path}/gold", mart)
+            assert same_rows(got, read_layer(spark, lake.gold, mart))
+        stats = partition_files(got, CREDITS.partition_by)
+        files[direct_rows] = [r["file_count"] for r in stats.collect()]
+    # one file per task and category, against one per category
+    assert files == {0: [4, 4, 4], 1_000_000_000: [1, 1, 1]}
+
+
 def test_missing_raw_file_stops_before_any_write(spark, tmp_path):
     bronze, silver = tmp_path / "bronze", tmp_path / "silver"
     bronze.mkdir()
