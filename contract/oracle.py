@@ -6,14 +6,24 @@ with plain joins and computes the expected columns from it.
 
 from __future__ import annotations
 
+
+def _padded(prefix: str, number: str, width: int) -> str:
+    text = f"({number})::varchar"
+    return f"'{prefix}' || lpad({text}, greatest({width}, length({text}))::int, '0')"
+
+
+_ORDER = _padded("tt", "o_orderkey", 9)
+_LINE = _padded("te", "k", 9) + " || '-' || n"
+_PERSON = _padded("nm", "case when l_partkey % 29 = 0 then -1 else l_suppkey end", 7)
+
 # Common table expressions, in order of dependence.
 _CTES = {
     "lines": """
         select l_orderkey as k, l_linenumber as n, max(l_quantity) as quantity
         from lineitem join orders on o_orderkey = l_orderkey
         where o_orderstatus = 'O' group by all""",
-    "raw_titles": """
-        select 'tt' || lpad(o_orderkey::varchar, 9, '0') as "tconst",
+    "raw_titles": f"""
+        select {_ORDER} as "tconst",
                case o_orderstatus when 'F' then 'movie' when 'O' then 'tvSeries'
                     else 'short' end as "titleType",
                'Title ' || (o_orderkey % 97) as "primaryTitle",
@@ -29,37 +39,36 @@ _CTES = {
                     else c_mktsegment || ',' || substr(o_orderpriority, 3) end as genres
         from orders join customer on c_custkey = o_custkey
         union all
-        select 'te' || lpad(k::varchar, 9, '0') || '-' || n, 'tvEpisode',
+        select {_LINE}, 'tvEpisode',
                'Episode ' || n, 'orig', '0',
                case when k % 5 <> 0 then (1995 + (k + n) % 9)::varchar end,
                null, (n * 5 + 15)::varchar, null
         from lines""",
-    "ratings": """
-        select 'tt' || lpad(o_orderkey::varchar, 9, '0') as "tconst",
+    "ratings": f"""
+        select {_ORDER} as "tconst",
                (o_orderkey * 7 % 37 + 4) / 4.0::double as "averageRating",
                (o_orderkey * 37 % 50000)::bigint as "numVotes"
         from orders where o_orderpriority <> '4-NOT SPECIFIED'
         union all
-        select 'te' || lpad(k::varchar, 9, '0') || '-' || n,
+        select {_LINE},
                ((k * 3 + n * 5) % 37 + 4) / 4.0::double, ((k + n) * 13 % 3000)::bigint
         from lines where quantity >= 10""",
-    "raw_episodes": """
-        select 'te' || lpad(k::varchar, 9, '0') || '-' || n as "tconst",
-               'tt' || lpad(k::varchar, 9, '0') as "parentTconst",
+    "raw_episodes": f"""
+        select {_LINE} as "tconst",
+               {_padded("tt", "k", 9)} as "parentTconst",
                (case when n <> 7 then n % 3 + 1 end)::int as "seasonNumber",
                n::int as "episodeNumber"
         from lines""",
-    "principals": """
-        select 'tt' || lpad(l_orderkey::varchar, 9, '0') as "tconst",
-               'nm' || lpad((case when l_partkey % 29 = 0 then -1
-                                  else l_suppkey end)::varchar, 7, '0') as "nconst",
+    "principals": f"""
+        select {_padded("tt", "l_orderkey", 9)} as "tconst",
+               {_PERSON} as "nconst",
                case when l_returnflag <> 'N'
                     then '["P' || l_partkey || '"]' end as "characters",
                case l_returnflag when 'A' then 'actor' when 'R' then 'actress'
                     else 'director' end as "category"
         from lineitem""",
-    "people": """
-        select 'nm' || lpad(s_suppkey::varchar, 7, '0') as "nconst",
+    "people": f"""
+        select {_padded("nm", "s_suppkey", 7)} as "nconst",
                'Person ' || (s_suppkey % 60) as "primaryName"
         from supplier""",
     "basics": """

@@ -23,7 +23,10 @@ def _text(c: Column) -> Column:
 
 
 def _padded(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_text(number), width, "0"))
+    """The number with leading zeros; a longer one is kept whole."""
+    text = _text(number)
+    wide = F.greatest(F.lit(width), F.length(text))
+    return F.concat(F.lit(prefix), F.lpad(text, wide, F.lit("0")))
 
 
 def _title_key(order_key: str) -> Column:

@@ -125,7 +125,7 @@ def publish(
     if published_rows == source_rows:
         # every row fits: no need to read the mart again to find none
         rejected = rejected.limit(0)
-    rejected.write.mode(mode).format("parquet").saveAsTable(quarantine)
+    rejected.write.mode("append" if appending else "overwrite").format("parquet").saveAsTable(quarantine)
     rejected_rows = _rows(spark, quarantine) - before[1]
     return spark.createDataFrame(
         [(table.name, source_rows, published_rows, rejected_rows,
