@@ -1,7 +1,9 @@
 import pytest
 
 from contract import standin
-from playbill import publish_gold, run_all, run_gold, run_silver, workspace
+from playbill import (
+    SUITE, publish_gold, run_all, run_gold, run_query, run_silver, workspace,
+)
 from playbill.operators import audit_counts, clean_episodes
 from playbill.plans.layers import read_raw
 from playbill.schemas import (
@@ -9,7 +11,7 @@ from playbill.schemas import (
 )
 from playbill.__main__ import main
 from playbill.session import JOB_CONF, job_session, shuffle_partitions
-from playbill.sources import partition_files, read_layer
+from playbill.sources import partition_files, read_layer, register_views
 from tests.helpers import rows, same_rows, write_text
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -96,6 +98,14 @@ def test_missing_raw_file_stops_before_any_write(spark, tmp_path):
 def test_publish_all_marts(spark, lake, tmp_path):
     audit = publish_gold(spark, lake.gold, "all_marts", f"{tmp_path}/tables")
     assert [r["balanced"] for r in audit.collect()] == [True] * 3
+    # the named queries give the same over published tables as over views
+    for mart in GOLD:
+        spark.catalog.dropTempView(mart.name)
+    spark.sql("use all_marts")
+    published = {name: run_query(spark, name).collect() for name in SUITE}
+    spark.sql("use default")
+    register_views(spark, lake.gold, GOLD)
+    assert published == {name: run_query(spark, name).collect() for name in SUITE}
     spark.sql("drop database all_marts cascade")
 
 

@@ -142,36 +142,15 @@ def gold(spark, tmp_path_factory):
     return root
 
 
-# the same questions, asked in SQL of the registered views
-SQL = {
-    "q1_top_movies": """
-        select primaryTitle, averageRating, numVotes, startYear from titles_enriched
-        where titleType = 'movie' and numVotes >= 10000
-        order by averageRating desc, numVotes desc, tconst limit 20""",
-    "q2_season_episodes": """
-        select seriesTitle, seasonNumber, count(*) episode_count from episodes_enriched
-        where parentTconst in (
-            select parentTconst from episodes_enriched group by all
-            order by max(seriesNumVotes) desc, parentTconst limit 10)
-        group by all order by all""",
-    "q4_rating_gap": """
-        select seriesTitle, avg(episodeAverageRating) avg_episode_rating,
-               avg(seriesAverageRating) avg_series_rating,
-               avg(episodeAverageRating) - avg(seriesAverageRating) rating_gap
-        from episodes_enriched
-        where episodeAverageRating is not null and seriesAverageRating is not null
-        group by all having count(*) >= 10 order by rating_gap desc, seriesTitle limit 20""",
-    "q5_top_credited": """
-        select primaryName, count(*) credit_count from cast_credits
-        where category in ('actor', 'actress')
-        group by all order by credit_count desc, primaryName limit 25""",
-}
-
-
-@pytest.mark.parametrize("name", SQL)
-def test_views_answer_the_same_in_sql(spark, gold, name):
-    got = run_query(spark, name).collect()
-    assert got and got == spark.sql(SQL[name]).collect()
+def test_views_answer_any_sql(spark, gold):
+    by_kind = spark.sql("""
+        select titleType, is_rated is null as unflagged, sum(numVotes) as votes
+        from titles_enriched where start_decade = '1950' group by all order by all""")
+    assert [tuple(r) for r in by_kind.collect()] == [
+        ("movie", True, sum(i * 300 for i in range(0, 300, 4) if i % 5))]
+    joined = spark.sql("""
+        select count(*) from cast_credits join titles_enriched using (tconst)""")
+    assert joined.first()[0] == 900
 
 
 def test_all_named_queries_run_over_views(spark, gold):
