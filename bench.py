@@ -24,6 +24,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from contract import standin  # noqa: E402
 from playbill import SUITE, publish_gold, run_gold, run_query, run_silver, workspace  # noqa: E402
 from playbill import schemas as S  # noqa: E402
+from playbill.session import JOB_CONF  # noqa: E402
 from playbill.sources import read_layer, register_views  # noqa: E402
 
 RUNS = 3
@@ -57,8 +58,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     copies = int(os.environ.get("BENCH_COPIES", "1"))
     root = os.environ.get("BENCH_LAKE")  # reuse a lake built by an earlier run
+    builder = SparkSession.builder
+    for key, value in JOB_CONF.items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("bench")
+        builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_PARTITIONS", cpus))
         .config("spark.ui.enabled", "false")

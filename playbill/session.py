@@ -11,7 +11,10 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # target of rebalanced writes, and so of layer files
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # hash instead of sort a join whose every shuffled partition is this small; the
+    # sizes are those measured in the run, and anything larger is sort-merged
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 

@@ -98,6 +98,19 @@ def test_adaptive_execution_splits_hot_fact_keys(spark, tmp_path, conf, how):
     assert got.count() == 60_000
 
 
+@pytest.mark.parametrize("largest,used", [("1m", "ShuffledHashJoin"), ("1k", "SortMergeJoin")])
+def test_joins_are_hashed_only_when_every_partition_is_small(
+        spark, tmp_path, conf, largest, used):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", largest)
+    conf("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", largest)
+    facts, dim = _hot_facts(spark, tmp_path)
+    got = with_role(facts, dim, "k", "id", {"name": "name"})
+    assert got.agg(F.count("name")).first()[0] == 60_000
+    got.collect()
+    assert used in plan(got).split("Initial Plan")[0]
+
+
 def test_one_dimension_in_two_roles(spark):
     fact = spark.createDataFrame([("a", "b"), ("b", "b"), ("a", "gone"), ("a", None)],
                                  "child string, parent string")

@@ -138,7 +138,7 @@ def test_job_session_keeps_what_the_launcher_set(spark, conf):
         conf(key, value)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
     session = job_session("again")
-    assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "256m"
+    assert session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128m"
     assert session.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
