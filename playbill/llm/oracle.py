@@ -2,4 +2,22 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP10 = r"""
+with given as (
+  select doc_id, coalesce(text, '') as text,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as content
+  from documents),
+ranked as (
+  select doc_id, sha256(content) as text_sha256,
+         first_value(doc_id) over staying as keep_id,
+         count(*) over (partition by content) as group_size,
+         row_number() over staying = 1 as kept
+  from given
+  window staying as (
+    partition by content order by length(text) desc, doc_id nulls last))
+select doc_id, keep_id, group_size, kept, text_sha256 from ranked
+"""
+
+ORACLE: dict[str, str] = {
+    "op10_exact_dedup": OP10,
+}
