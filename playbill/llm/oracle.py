@@ -18,6 +18,40 @@ ranked as (
 select doc_id, keep_id, group_size, kept, text_sha256 from ranked
 """
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP6 = rf"""
+with doc as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+item as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item_id, size, array_to_string(w[i : i + size - 1], ' ') as spelled
+  from (select item_id, w, least(13, len(w)) as size,
+               unnest(range(1, len(w) - least(13, len(w)) + 2)) as i
+        from item where len(w) > 0)),
+places as (
+  select r, i, size, array_to_string(w[i : i + size - 1], ' ') as spelled
+  from (select r, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from doc, (select distinct size from windows) where len(w) >= size)),
+met as (select r, i, size, item_id from places join windows using (size, spelled)),
+hits as (
+  select r, count(distinct p) as n_hit
+  from (select r, unnest(range(i, i + size)) as p from met) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+  from (select distinct r, item_id from met) group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc left join hits using (r) left join items using (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op6_decontamination": OP6,
     "op10_exact_dedup": OP10,
 }

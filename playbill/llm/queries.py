@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import workspace
-from playbill.llm import bpe, exact, shards, token_files
+from playbill.llm import bpe, decontaminate, exact, shards, token_files
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -53,6 +53,13 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.findings(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), workspace(spark)
+    ).select("doc_id", "n_words", "n_hit", "n_items",
+             F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"), workspace(spark)).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -63,6 +70,7 @@ QUERIES = {
         op2_byte_bpe,
         op3_token_files,
         op4_feistel_shards,
+        op6_decontamination,
         op10_exact_dedup,
     )
 }
