@@ -20,6 +20,42 @@ select doc_id, keep_id, group_size, kept, text_sha256 from ranked
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1 = rf"""
+with recursive doc as (
+  select row_number() over () as r, doc_id, regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct r, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') as s
+  from (select r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i
+        from doc where len(w) > 0)),
+sizes as (select r, count(*) as n from shingles group by r),
+classes as (
+  select r, n, min(r) over (partition by n, content) as c
+  from (select r, count(*) as n, string_agg(s, '|' order by s) as content
+        from shingles group by r)),
+common as (
+  select a.r as x, b.r as y, count(*) as n
+  from shingles a join shingles b on a.s = b.s and a.r < b.r
+  where a.r in (select c from classes) and b.r in (select c from classes)
+  group by all),
+links as (
+  select x, y from common join sizes p on p.r = x join sizes q on q.r = y
+  where 100 * common.n >= 85 * (p.n + q.n - common.n)),
+reach as (
+  select distinct c as x, c as y from classes
+  union
+  select reach.x, l.y from reach
+  join (select x, y from links union all select y, x from links) l on l.x = reach.y),
+named as (
+  select classes.r, min(doc.doc_id) as component_id
+  from classes join reach on reach.x = classes.c
+  join classes other on other.c = reach.y join doc on doc.r = other.r
+  group by classes.r)
+select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id
+from doc left join sizes using (r) left join named using (r)
+"""
+
 OP6 = rf"""
 with doc as (
   select row_number() over () as r, doc_id, regexp_extract_all(
@@ -52,6 +88,7 @@ from doc left join hits using (r) left join items using (r)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": OP1,
     "op6_decontamination": OP6,
     "op10_exact_dedup": OP10,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import workspace
-from playbill.llm import bpe, decontaminate, exact, shards, token_files
+from playbill.llm import bpe, decontaminate, exact, jaccard, shards, token_files
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(
+        table(spark, sf_dir, "documents"), workspace(spark), jaccard.Similarity(4, 85)
+    ).select("doc_id", F.col("size").alias("n_shingles"), F.col("first.doc_id").alias("component_id"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(
         table(spark, sf_dir, "documents"),
@@ -67,6 +73,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
+        op1_ngram_jaccard,
         op2_byte_bpe,
         op3_token_files,
         op4_feistel_shards,
