@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: bytes of text handled at once by numpy code, which holds some arrays of eight times that
 SLICE_BYTES = 1 << 21
@@ -40,3 +42,28 @@ def slices(
             end = min(max(end, row + 1), batch.num_rows)
             yield batch.slice(row, end - row)
             row = end
+
+
+FAN_IN = 1024
+
+
+def summed(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of packed counters by ``keys``: rows (part int, *keys, counts binary of int64).
+
+    ``part`` numbers the tasks that made the rows. They are added up in two levels, so no
+    task holds more than FAN_IN of them at once, of up to FAN_IN squared tasks.
+    """
+    fields = ", ".join(
+        ["part int", *(f"`{k}` {parts.schema[k].dataType.simpleString()}" for k in keys),
+         "counts binary"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_buffer(), np.int64) for c in table.column("counts"))
+        row = table.slice(0, 1)
+        return pa.table([*(row.column(c) for c in ("part", *keys)), pa.array([total.tobytes()])],
+                        ["part", *keys, "counts"])
+
+    for _ in range(2):
+        parts = parts.select((F.col("part") / FAN_IN).cast("int").alias("part"), *keys, "counts")
+        parts = parts.groupBy("part", *keys).applyInArrow(add, fields)
+    return parts

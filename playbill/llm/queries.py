@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import workspace
-from playbill.llm import bpe, decontaminate, exact, jaccard, shards, token_files
+from playbill.llm import bpe, decontaminate, exact, jaccard, language, shards, token_files
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -66,6 +66,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def language_model(docs: DataFrame) -> language.Model:
+    """Learned from all rows that are not held out."""
+    return language.learn(docs.where(language.remainder(4) != 2))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language_model(docs)).select(
+        "doc_id", (language.remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"), workspace(spark)).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -78,6 +89,7 @@ QUERIES = {
         op3_token_files,
         op4_feistel_shards,
         op6_decontamination,
+        op7_language,
         op10_exact_dedup,
     )
 }
