@@ -20,10 +20,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.arrow import slices, text_bytes
+from playbill.llm.arrow import slices, summed, text_bytes
 from playbill.llm.components import components
 from playbill.llm.words import VISIBLE, mixed, runs, words
 
@@ -98,34 +99,28 @@ def profile(docs: DataFrame, carry: list[str], like: Similarity, path: str) -> N
                 [*(batch.column(c) for c in carry),
                  pa.array([len(s) for s in found], pa.int64()),
                  pa.array([class_key(s) if len(s) else None for s in found], pa.int64()),
-                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                [*carry, "size", "class", "block", "counts"])
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                [*carry, "size", "class", "part", "block", "counts"])
         blocks = [k for k in range(0, len(counts), _BLOCK) if counts[k:k + _BLOCK].any()]
         if blocks:
             n = len(blocks)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.nulls(n, t) for t in types), pa.nulls(n, pa.int64()),
-                 pa.nulls(n, pa.int64()), pa.array([k // _BLOCK for k in blocks], pa.int32()),
-                 pa.array([counts[k:k + _BLOCK].astype("<i4").tobytes() for k in blocks])],
-                [*carry, "size", "class", "block", "counts"])
+                 pa.nulls(n, pa.int64()),
+                 pa.array([TaskContext.get().partitionId()] * n, pa.int32()),
+                 pa.array([k // _BLOCK for k in blocks], pa.int32()),
+                 pa.array([counts[k:k + _BLOCK].tobytes() for k in blocks])],
+                [*carry, "size", "class", "part", "block", "counts"])
 
     docs.select(*carry, "text").mapInArrow(
-        run, ", ".join([*fields, "size bigint, class bigint, block int, counts binary"])
+        run, ", ".join([*fields, "size bigint, class bigint, part int, block int, counts binary"])
     ).write.parquet(path)
 
 
 def sketch(profiles: DataFrame) -> np.ndarray:
     """How many documents have members of each bucket; tasks' parts are added up by block."""
 
-    def total(table: pa.Table) -> pa.Table:
-        added = np.zeros(_BLOCK, np.int64)
-        for part in table.column("counts"):
-            added += np.frombuffer(part.as_buffer(), "<i4")
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()),
-                         "counts": pa.array([added.tobytes()], pa.binary())})
-
-    blocks = (profiles.where("block is not null").select("block", "counts")
-              .groupBy("block").applyInArrow(total, "block int, counts binary"))
+    blocks = summed(profiles.where("block is not null").select("part", "block", "counts"), ["block"])
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in blocks.collect():  # as many as the sketch has blocks
         counts[row.block * _BLOCK:(row.block + 1) * _BLOCK] = np.frombuffer(row.counts, np.int64)
@@ -415,7 +410,7 @@ def similar(
         spark.read.parquet(f"{work}/links-1"))
     labels = components(joined, f"{work}/components-1")
 
-    rows = profiles.where("block is null").drop("block", "counts")
+    rows = profiles.where("block is null").drop("part", "block", "counts")
     order = F.struct(*(x for c in keep for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))))
     classes = (
         rows.where("class is not null").groupBy("class").agg(F.min(order).alias("first"))
