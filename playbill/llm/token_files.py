@@ -37,8 +37,8 @@ DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 #: a pack is closed when its frames reach this size; a longer document is a pack by itself
 PACK_BYTES = 4 << 20
-#: pieces kept in a task with their ids, so that frequent words are encoded once
-KEPT_PIECES = 250_000
+#: pieces kept in a process with their ids, so that frequent words are encoded once
+KEPT_PIECES = 1_000_000
 
 _MAGIC, _VERSION = b"TPK1", 1
 _HEADER = struct.Struct("<4sHHIQ32s")
@@ -57,35 +57,51 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=2)
 def piece_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
     """A function from a text to its ids, for byte-level tokenizers.
 
-    Their split never joins a visible character to white space that follows it, so a text is cut
-    before each space or line end that follows one and the pieces are encoded separately. Ids of pieces are
-    kept up to ``kept`` of them; then the store starts anew, so memory is bounded.
+    Their split never joins a visible character to white space that follows it, nor a letter or
+    digit to punctuation that follows it. So a text is cut before each space or line
+    end after a visible character, and pieces are encoded once, without the punctuation at
+    their ends. Ids of pieces are kept in the process, from task to task, up to ``kept`` of
+    them; then the store starts anew, so memory is bounded.
     """
     tokenizer, known = _tokenizer(path), {}
 
     def learn(found: list[str]) -> dict[str, bytes]:
-        if len(known) + len(found) > kept:
-            known.clear()
-        new = {
+        halves = {}
+        for piece in found:
+            stem = piece.rstrip(_PUNCTUATION)
+            halves[piece] = (
+                (stem, piece[len(stem):]) if stem and stem[-1].isalnum() else (piece, ""))
+        new = [p for p in dict.fromkeys(p for h in halves.values() for p in h)
+               if p and p not in known]
+        ids = {
             piece: np.array(e.ids, "<u4").tobytes() for piece, e in
-            zip(found, tokenizer.encode_batch_fast(found, add_special_tokens=False))}
-        if len(new) <= kept:
-            known.update(new)
-        return new
+            zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False))}
+        ids[""] = b""
+        for piece, (stem, tail) in halves.items():
+            ids[piece] = (ids.get(stem) or known[stem]) + (
+                ids[tail] if tail in ids else known[tail])
+        return ids
 
     def encode(text: str) -> np.ndarray:
-        found = _cut(text)
-        missing = [p for p in dict.fromkeys(found) if p not in known]
-        # taken before learn(), which may empty the store
-        ids = known if not missing else {p: known.get(p) for p in set(found)} | learn(missing)
-        return np.frombuffer(b"".join([ids[p] for p in found]), "<u4")
+        found = _cut(text) if text else []
+        parts = list(map(known.get, found))
+        if None in parts:
+            new = learn([p for p, ids in zip(found, parts) if ids is None])
+            parts = [new[p] if ids is None else ids for p, ids in zip(found, parts)]
+            if len(known) + len(new) > kept:
+                known.clear()
+            if len(new) <= kept:
+                known.update(new)
+        return np.frombuffer(b"".join(parts), "<u4")
 
     return encode
 
 
+_PUNCTUATION = ".,;:!?*#$%&)"
 _MARK = "\ue000\ue001"
 _SPACE_BEFORE_CUT = re.compile(r"\s[ \n]")
 
@@ -169,11 +185,15 @@ class Pack:
 
 
 def train_dictionary(docs: DataFrame, encode: Callable[[str], bytes]) -> bytes:
-    """A dictionary from a bounded, reproducible sample; empty if the sample is too small."""
-    sample = (
-        docs.where(F.length("text").between(1, SAMPLE_CHARS))
-        .select("text", F.xxhash64("text").alias("order"))
-        .orderBy("order", "text").limit(SAMPLE_DOCS).collect())
+    """A dictionary from a bounded, reproducible sample; empty if the sample is too small.
+
+    The sample is of distinct texts: those up to the hash of the SAMPLE_DOCS-th."""
+    short = docs.where(F.length("text").between(1, SAMPLE_CHARS)).select(
+        "text", F.xxhash64("text").alias("order"))
+    # the hashes first, so that no task sends more texts than are sampled in all
+    last = short.select("order").orderBy("order").limit(SAMPLE_DOCS).agg(F.max("order")).first()[0]
+    sample = short.where(F.col("order") <= last).dropDuplicates(["order"]).collect()
+    sample.sort(key=lambda row: row.order)
     try:
         trained = zstandard.train_dictionary(DICTIONARY_BYTES, [encode(r.text) for r in sample])
     except zstandard.ZstdError:
