@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import workspace
-from playbill.llm import bpe, decontaminate, exact, jaccard, language, shards, token_files
+from playbill.llm import bpe, decontaminate, exact, jaccard, language, shards, token_files, toxicity
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -77,6 +77,20 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (language.remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """doc_id, text and the label of the labelled documents; one row of labels per doc_id."""
+    labels = table(spark, sf_dir, "labels").where(F.col(label).isNotNull())
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(
+        labels.groupBy("doc_id").agg(F.max(label).alias(label)), "doc_id")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    machine = toxicity.fit(labelled(spark, sf_dir, "toxic").where(language.remainder(4) != 2))
+    return toxicity.predict(table(spark, sf_dir, "documents"), machine).select(
+        "doc_id", (language.remainder(4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"), workspace(spark)).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -90,6 +104,7 @@ QUERIES = {
         op4_feistel_shards,
         op6_decontamination,
         op7_language,
+        op8_toxicity,
         op10_exact_dedup,
     )
 }
