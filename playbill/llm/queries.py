@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill import workspace
-from playbill.llm import bpe, decontaminate, exact, jaccard, language, shards, token_files, toxicity
+from playbill.llm import (
+    bpe, decontaminate, exact, jaccard, language, quality, shards, token_files, toxicity,
+)
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -91,6 +93,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(labelled(spark, sf_dir, "quality").where(language.remainder(3) != 1))
+    return quality.predict(table(spark, sf_dir, "documents"), model).select(
+        "doc_id", (language.remainder(3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"), workspace(spark)).select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -105,6 +114,7 @@ QUERIES = {
         op6_decontamination,
         op7_language,
         op8_toxicity,
+        op9_quality,
         op10_exact_dedup,
     )
 }
