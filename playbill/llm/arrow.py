@@ -67,3 +67,23 @@ def summed(parts: DataFrame, keys: list[str]) -> DataFrame:
         parts = parts.select((F.col("part") / FAN_IN).cast("int").alias("part"), *keys, "counts")
         parts = parts.groupBy("part", *keys).applyInArrow(add, fields)
     return parts
+
+
+def fixed_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A filter of 2 ** ``bits`` bits that lets all 64-bit ``column`` of ``values`` pass, and by
+    chance some others. Its size, 2 ** bits / 8 bytes, does not depend on the data."""
+    bit = F.pmod(column, F.lit(1 << bits)) + 1
+    blocks = (
+        values.groupBy(F.bitmap_bucket_number(bit).alias("block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
+    wanted = np.zeros(max(1 << bits, 32768), bool)
+    for row in blocks:  # 2 ** bits / 32768 of them
+        found = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
+        wanted[(row.block - 1) * 32768:row.block * 32768] = found
+    return np.packbits(wanted)
+
+
+def passing(packed: np.ndarray, bits: int, values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit ``values`` the filter lets pass."""
+    place = values.astype(np.int64) & ((1 << bits) - 1)
+    return (packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.arrow import slices, summed, text_bytes
+from playbill.llm.arrow import fixed_filter, passing, slices, summed, text_bytes
 from playbill.llm.components import components
 from playbill.llm.words import VISIBLE, mixed, runs, words
 
@@ -290,27 +290,19 @@ def fetched(
     others pass, which no join asks for.
     """
     spark = docs.sparkSession
-    bit = F.pmod("class", F.lit(1 << FILTER_BITS)) + 1
-    blocks = (classes.select("class").distinct()
-              .groupBy(F.bitmap_bucket_number(bit).alias("block"))
-              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    for row in blocks:  # 2 ** FILTER_BITS / 32768 of them
-        bits = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
-        wanted[(row.block - 1) * 32768:row.block * 32768] = bits
-    packed = spark.sparkContext.broadcast(np.packbits(wanted))
+    packed = spark.sparkContext.broadcast(fixed_filter(classes, "class", FILTER_BITS))
     given = spark.sparkContext.broadcast(expected)
 
     def run(batches: Iterator[pa.RecordBatch]):
         seen: set[int] = set()
-        wanted, estimates = np.unpackbits(packed.value), given.value
+        estimates = given.value
         for batch in slices(batches, "text"):
             rows = []
             for members in sets(batch.column("text"), like.words):
                 if not len(members):
                     continue
                 own = class_key(members)
-                if own in seen or not wanted[own % (1 << FILTER_BITS)]:
+                if own in seen or not passing(packed.value, FILTER_BITS, np.array([own]))[0]:
                     continue
                 seen.add(own)
                 members = ordered(members, estimates)

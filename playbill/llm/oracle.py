@@ -18,6 +18,38 @@ ranked as (
 select doc_id, keep_id, group_size, kept, text_sha256 from ranked
 """
 
+# bytes as two hexadecimal digits each, so that substr counts in bytes
+OP5 = """
+with doc as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select r, i, md5(substr(h, 2 * i + 1, 800)) as key
+  from (select r, h, unnest(range(0, len(h) // 2 - 399)) as i from doc where len(h) >= 800)),
+again as (
+  select r, i from (select r, i, count(*) over (partition by key) as n from windows) where n > 1),
+runs as (
+  select r, min(i) as first, max(i) + 400 as past
+  from (select r, i, sum(new) over (partition by r order by i) as run
+        from (select r, i, (i - lag(i, 1, -1000) over (partition by r order by i) > 400)::int as new
+              from again))
+  group by r, run),
+cut as (
+  select r, sum(past - first) as n_removed, count(*) as n_spans, list(first order by first) as a,
+         list(past order by first) as b
+  from runs group by r),
+kept as (
+  select r, string_agg(part, '' order by k) as h
+  from (select r, k, substr(h, 2 * (case when k = 1 then 0 else b[k - 1] end) + 1,
+                            2 * ((case when k > len(a) then len(h) // 2 else a[k] end)
+                                 - (case when k = 1 then 0 else b[k - 1] end))) as part
+        from (select r, h, a, b, unnest(range(1, len(a) + 2)) as k from doc join cut using (r)))
+  group by r)
+select doc_id, cast(len(doc.h) // 2 as bigint) as n_bytes,
+       cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept.h, doc.h))) as kept_sha256
+from doc left join cut using (r) left join kept using (r)
+"""
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = rf"""
@@ -89,6 +121,7 @@ from doc left join hits using (r) left join items using (r)
 
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": OP1,
+    "op5_suffix_repeats": OP5,
     "op6_decontamination": OP6,
     "op10_exact_dedup": OP10,
 }

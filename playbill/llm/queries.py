@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from playbill import workspace
 from playbill.llm import (
-    bpe, decontaminate, exact, jaccard, language, quality, shards, token_files, toxicity,
+    bpe, decontaminate, exact, jaccard, language, quality, repeats, shards, token_files,
+    toxicity,
 )
 
 
@@ -61,6 +62,10 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), workspace(spark)).drop("spans")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.findings(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), workspace(spark)
@@ -111,6 +116,7 @@ QUERIES = {
         op2_byte_bpe,
         op3_token_files,
         op4_feistel_shards,
+        op5_suffix_repeats,
         op6_decontamination,
         op7_language,
         op8_toxicity,
