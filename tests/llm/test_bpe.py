@@ -1,0 +1,57 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+
+from playbill.llm import bpe
+from tests.llm.helpers import SCHEMA
+
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+ODD = ["", " ", "  \n x", "don't can'T 's", "a" * 300, "12ab34", "x\x1c!\x1c y", "é́ z", "…!!  \t\tok", "👍🏽 ok"]
+
+
+def test_pieces_encode_like_the_whole():
+    rnd = random.Random(4)
+    encoder = bpe.encoding(RANKS, PATTERN)
+    for _ in range(300):
+        text = "".join(rnd.choice(["a", "B", "7", " ", "\n", "'s", ".", "!", "é", "\x1c", " ", "  "])
+                       for _ in range(rnd.randint(0, 80)))
+        assert "".join(bpe.pieces(text, 5)) == text
+        assert bpe.encode(text, RANKS, PATTERN, long=5) == encoder.encode_ordinary(text)
+
+
+def test_a_very_long_text_is_cut():
+    text = "word " * 40_000 + "z" * 70_000 + " 1"
+    assert len(list(bpe.pieces(text))) > 2
+    ids = bpe.encode(text, RANKS, PATTERN)
+    assert bpe.decode(ids, RANKS, PATTERN) == text.encode()
+
+
+def test_round_trip_of_odd_texts_and_nulls(spark):
+    rows = [(k, t, "x") for k, t in enumerate([*ODD, None])] + [(0, "", "x"), (None, "n", "x")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", n_tokens string")
+    got = sorted((tuple(r) for r in bpe.round_trip(docs, RANKS, PATTERN, long=4).collect()), key=repr)
+    encoder, expected = bpe.encoding(RANKS, PATTERN), []
+    for key, text, _ in rows:
+        ids = encoder.encode_ordinary(text or "")
+        spelled = " ".join(map(str, ids)).encode()
+        expected.append((key, len(ids), hashlib.sha256(spelled).hexdigest(),
+                         hashlib.sha256((text or "").encode()).hexdigest(), True))
+    assert got == sorted(expected, key=repr)
+
+
+def test_ids_and_bytes_as_columns(spark):
+    docs = spark.createDataFrame([(1, "héllo wörld"), (2, None)], SCHEMA)
+    ids = bpe.encode_texts(docs, RANKS, PATTERN)
+    back = {r.doc_id: r for r in bpe.decode_ids(ids, RANKS, PATTERN).collect()}
+    assert bytes(back[1].bytes) == "héllo wörld".encode() and bytes(back[2].bytes) == b""
+    assert back[2].ids == []
+    # ids may end inside a character
+    assert bpe.decode(back[1].ids[:2], RANKS, PATTERN) in "héllo".encode()
+    with pytest.raises(ValueError):
+        bpe.encode_texts(docs, RANKS, PATTERN, out="TEXT")
+
+
+def test_an_empty_table(spark):
+    assert bpe.round_trip(spark.createDataFrame([], SCHEMA), RANKS, PATTERN).count() == 0
