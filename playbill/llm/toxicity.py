@@ -136,17 +136,21 @@ def tokens(column: pa.Array) -> Tokens:
 def _lone_gaps(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Single spaces between single ASCII letters, which a spelled-out word has."""
     n = len(data)
+    gap = np.zeros(n, bool)
+    if n < 3:
+        return gap
     letter = _LETTER[data] & (data < 0x80)
     white = np.ones(n + 2, bool)
     white[1:-1] = ~VISIBLE[data]
-    alone = letter & white[:-2] & white[2:]
+    before, after = white[:-2].copy(), white[2:].copy()
     # the ends of texts count as white space
-    inner = begin[(begin > 0) & (begin < n)]
-    alone[inner] = (letter & white[2:])[inner]
-    gap = np.zeros(n, bool)
+    some = begin[:-1] < begin[1:]
+    before[begin[:-1][some]] = True
+    after[begin[1:][some] - 1] = True
+    alone = letter & before & after
     gap[1:-1] = (data[1:-1] == 0x20) & alone[:-2] & alone[2:]
-    gap[inner] = False
-    gap[inner - 1] = False
+    gap[begin[:-1][some]] = False
+    gap[begin[1:][some] - 1] = False
     return gap
 
 
@@ -337,6 +341,17 @@ def fit(labelled: DataFrame, rounds: int = 3) -> Machine:
     return _trained(sample, bad_words, plain, rounds)
 
 
+def _disguised(found: list[bytes]) -> list[bytes]:
+    """Each word with a letter put in at one place and left out at another, so that the
+    machine draws its margin around such forms too."""
+    result = []
+    for k, word in enumerate(w for w in found if len(w) > ORDER + 1):
+        at = 1 + k % (len(word) - 2)
+        result.append(word[:at] + b"xqzvj"[k % 5:k % 5 + 1] + word[at:])
+        result.append(word[:-at - 1] + word[len(word) - at:])
+    return result
+
+
 def _described(found: list[bytes], landmarks: np.ndarray) -> np.ndarray:
     return np.concatenate([
         likeness(as_symbols(found[k:k + BATCH], WIDTH), landmarks)
@@ -347,6 +362,7 @@ def _trained(
     sample: DataFrame, bad: list[bytes], plain: list[bytes], rounds: int
 ) -> Machine:
     landmarks = _chosen(bad, plain, LANDMARKS)
+    bad = [*bad, *_disguised(bad[:SAMPLE_WORDS // 8])]
     values, vectors = np.linalg.eigh(likeness(landmarks, landmarks).astype(np.float64))
     use = values > 1e-4 * values.max()
     half = vectors[:, use] / np.sqrt(values[use])
