@@ -15,9 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+#: how the stream keeps its state: on disk, as changelogs in the checkpoint, and closed by
+#: each task that has written its part, so that executors do not hold all parts open
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 #: what equality ignores: space, and the five control characters that move the print position
 IGNORED = " \t\n\v\f\r"
@@ -69,10 +74,10 @@ def drain(spark: SparkSession, arrivals: str, checkpoint: str) -> None:
     The checkpoint holds progress and state, so a stream that broke off goes on where it was.
     The state has as many partitions as shuffles had when it was first run.
     """
-    before = {key: spark.conf.get(key, None) for key in (PROVIDER, CHANGELOG)}
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set(CHANGELOG, "true")
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
     try:
+        for key, value in STATE_CONF.items():
+            spark.conf.set(key, value)
         schema = spark.read.parquet(arrivals).schema
         query = (
             first_of_each(spark.readStream.schema(schema).parquet(arrivals))
@@ -132,9 +137,9 @@ def deduplicate(
     state(spark, f"{work}/checkpoint").write.parquet(f"{work}/groups")
     groups = spark.read.parquet(f"{work}/groups")
     compared = verified(docs, groups, arrivals, f"{work}/hits")
-    collided = compared.where("not same").select("digest").distinct()
-    collided.write.parquet(f"{work}/collided")
-    collided = spark.read.parquet(f"{work}/collided")
+    # distinct only once stored, so that the join above it may split a hot digest
+    compared.where("not same").select("digest").write.parquet(f"{work}/collided")
+    collided = spark.read.parquet(f"{work}/collided").distinct()
     if collided.isEmpty():
         return _decided(arrivals.join(groups, "digest"))
     contents = spark.read.parquet(f"{work}/hits").join(collided, "digest", "left_semi")
