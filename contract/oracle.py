@@ -26,13 +26,15 @@ _CTES = {
         select {_ORDER} as "tconst",
                case o_orderstatus when 'F' then 'movie' when 'O' then 'tvSeries'
                     else 'short' end as "titleType",
-               'Title ' || (o_orderkey % 97) as "primaryTitle",
+               'Title ' || (o_orderkey % 97)
+                   || case when o_orderkey % 43 = 0 then repeat('x', 600) else '' end
+                   as "primaryTitle",
                'orig' as "originalTitle",
                case when o_orderpriority = '5-LOW' then '1' else '0' end as "isAdult",
-               case when o_orderkey % 11 <> 0
+               case when o_orderkey % 19 = 0 then '19x5' when o_orderkey % 11 <> 0
                     then year(o_orderdate)::varchar end as "startYear",
                null::varchar as "endYear",
-               case when o_orderkey % 7 <> 0
+               case when o_orderkey % 17 = 0 then 'n/a' when o_orderkey % 7 <> 0
                     then (o_orderkey % 180 + 1)::varchar end as "runtimeMinutes",
                case when o_orderkey % 13 = 0 then null
                     when o_orderkey % 2 = 0 then c_mktsegment
@@ -46,21 +48,25 @@ _CTES = {
         from lines""",
     "ratings": f"""
         select {_ORDER} as "tconst",
-               (o_orderkey * 7 % 37 + 4) / 4.0::double as "averageRating",
-               (o_orderkey * 37 % 50000)::bigint as "numVotes"
-        from orders where o_orderpriority <> '4-NOT SPECIFIED'
+               case when o_orderkey % 23 <> 0
+                    then (o_orderkey * 7 % 37 + 4) / 4.0::double end as "averageRating",
+               (o_orderkey * 37 % 50000 + again)::bigint as "numVotes"
+        from orders, (select unnest([0, 1]) as again)
+        where (again = 0 or o_orderkey % 41 = 0) and o_orderpriority <> '4-NOT SPECIFIED'
         union all
         select {_LINE},
                ((k * 3 + n * 5) % 37 + 4) / 4.0::double, ((k + n) * 13 % 3000)::bigint
         from lines where quantity >= 10""",
     "raw_episodes": f"""
         select {_LINE} as "tconst",
-               {_padded("tt", "k", 9)} as "parentTconst",
+               case when (k + n) % 31 = 0 then 'tt-none'
+                    else {_padded("tt", "k", 9)} end as "parentTconst",
                (case when n <> 7 then n % 3 + 1 end)::int as "seasonNumber",
                n::int as "episodeNumber"
         from lines""",
     "principals": f"""
-        select {_padded("tt", "l_orderkey", 9)} as "tconst",
+        select case when l_orderkey % 37 = 0 then 'tt-gone'
+                    else {_padded("tt", "l_orderkey", 9)} end as "tconst",
                {_PERSON} as "nconst",
                case when l_returnflag <> 'N'
                     then '["P' || l_partkey || '"]' end as "characters",
@@ -149,6 +155,13 @@ _NULLS = " union all ".join(
 
 _EPISODE_MART = 'select * exclude (series_decade) from episodes'
 
+# mart rows with a title longer than 500 bytes, which no published table takes
+_LONG = {
+    "titles": """(strlen("primaryTitle") > 500)""",
+    "episodes": """(strlen("episodeTitle") > 500 or strlen("seriesTitle") > 500)""",
+    "credits": """(strlen("primaryTitle") > 500)""",
+}
+
 # reasons a title breaks the tighter rules, in the order of the mart's columns
 _REASON = """concat_ws('; ',
     case when length("primaryTitle") > 8 then 'primaryTitle: longer than 8' end,
@@ -163,9 +176,9 @@ _SELECTS = {
     "layer_roundtrip": "select * from raw_episodes",
     "partitioned_roundtrip": "select * from basics",
     "partition_columns_from_path":
-        'select "titleType", start_decade, count(*) as title_count from basics group by all',
+        'select "titleType", start_decade, count(*) as title_count from titles group by all',
     "partition_file_stats":
-        'select "category", count(*) as row_count from principals group by all',
+        'select "category", count(*) as row_count, true as gathered from principals group by all',
     "clean_titles": "select * from basics",
     "clean_ratings": "select * from ratings",
     "clean_episodes": "select * from raw_episodes",
@@ -239,19 +252,28 @@ _SELECTS = {
     "topk_semi_join": f"""
         select "tconst", "parentTconst", "seasonNumber", "episodeNumber" from episodes
         where "parentTconst" in ({_TOP_SERIES})""",
-    "publish_bucketed": "select * from credits",
+    "publish_bucketed": f"select * from credits where not {_LONG['credits']}",
     "publish_audit": " union all ".join(f"""
         select '{label}' as table_name, count(*) as source_rows,
-               count(*) as published_rows, 0::bigint as rejected_rows, true as balanced
+               count(*) filter (not {_LONG[cte]}) as published_rows,
+               count(*) filter ({_LONG[cte]}) as rejected_rows, true as balanced
         from {cte}""" for cte, label in _MARTS.items()),
+    "publish_rejects": f"""
+        select *, 'primaryTitle: longer than 500' as reject_reason
+        from credits where {_LONG['credits']}""",
+    "corrupt_row_counts": " union all ".join(f"""
+        select '{label}' as table_name, count(*) as row_count, {bad} as corrupt_count
+        from {cte}""" for cte, label, bad in (
+        (cte, label, """count(*) filter ("averageRating" is null)""" if cte == "ratings"
+         else "0::bigint") for cte, label in _RAW.items())),
     "conform_schema": f"select * from titles where {_REASON} = ''",
     "conform_rejects": f"""
         select "tconst", "primaryTitle", "startYear", {_REASON} as reject_reason
         from titles where {_REASON} <> ''""",
     "completeness_audit": " union all ".join([
-        *(f"select '{label}' as table_name, count(*) > 0 as has_rows from {cte}"
-          for cte, label in _RAW.items()),
-        "select 'title.akas.tsv', false"]),
+        *(f"select '{label}' as table_name, count(*) as row_count, count(*) > 0 as has_rows "
+          f"from {cte}" for cte, label in _RAW.items()),
+        "select 'title.akas.tsv', 0, false"]),
     "layer_row_counts": _counts(_RAW),
     "silver_row_counts": _counts(_SILVER),
     "gold_row_counts": _counts(_MARTS),
@@ -266,7 +288,7 @@ _SELECTS = {
     "q3_genre_decade_rating": """
         select primary_genre, start_decade, avg("averageRating") as avg_rating,
                count(*) as title_count
-        from titles where primary_genre is not null and is_rated
+        from titles where primary_genre is not null and "averageRating" is not null
         group by all order by start_decade, avg_rating desc, primary_genre""",
     "q4_rating_gap": """
         select * exclude (n), avg_episode_rating - avg_series_rating as rating_gap from (
@@ -278,11 +300,11 @@ _SELECTS = {
         where n >= 10 order by rating_gap desc, "seriesTitle" limit 20""",
     "q5_top_credited": """
         select "primaryName", count(*) as credit_count from credits
-        where "category" = 'actor' or "category" = 'actress'
+        where "category" in ('actor', 'actress')
         group by all order by 2 desc, 1 limit 25""",
     "q6_runtime_by_type_decade": """
         select "titleType", start_decade, avg("runtimeMinutes") as avg_runtime_minutes,
-               count("runtimeMinutes") as title_count
+               count(*) as title_count
         from titles where "runtimeMinutes" is not null
         group by all order by start_decade, "titleType\"""",
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract import standin
-from playbill import SUITE, publish_gold, run_query, workspace
+from playbill import SUITE, corrupt_counts, publish_gold, run_query, workspace
 from playbill import functions as fn
 from playbill import operators as op
 from playbill import schemas as S
@@ -104,7 +104,10 @@ def partition_columns_from_path(spark, sf_dir):
 def partition_file_stats(spark, sf_dir):
     files = partition_files(
         _silver(spark, sf_dir, S.SILVER_CREDITS), S.SILVER_CREDITS.partition_by)
-    return files.select("category", "row_count")
+    # a value is in one file unless it is large
+    return files.select(
+        "category", "row_count",
+        F.expr("file_count <= 1 + byte_count div 1000000").alias("gathered"))
 
 
 # ---- cleaners and column expressions ----------------------------------------
@@ -270,8 +273,8 @@ def filter_in(spark, sf_dir):
 
 @_register
 def filter_not_null(spark, sf_dir):
-    return _gold(spark, sf_dir, S.TITLES).dropna(
-        subset=["primary_genre", "averageRating"]
+    return _gold(spark, sf_dir, S.TITLES).where(
+        F.col("primary_genre").isNotNull() & F.col("averageRating").isNotNull()
     ).select("tconst", "primary_genre", "averageRating")
 
 
@@ -365,6 +368,15 @@ def publish_bucketed(spark, sf_dir):
     return spark.table(f"{database}.{S.CREDITS.name}")
 
 
+@_register
+def publish_rejects(spark, sf_dir):
+    """Rows of a mart that break its limits, as they lie in the quarantine table."""
+    database, location = _database(), f"{workspace(spark)}/tables"
+    op.ensure_database(spark, database, location)
+    op.publish(_gold(spark, sf_dir, S.CREDITS), S.CREDITS, database)
+    return spark.table(f"{database}.{S.CREDITS.name}_rejected")
+
+
 @_register
 def publish_audit(spark, sf_dir):
     gold = standin.lake(spark, sf_dir).with_gold(*S.GOLD)
@@ -401,6 +413,11 @@ def completeness_audit(spark, sf_dir):
         spark, manifest, {t.name: _raw(spark, sf_dir, t) for t in S.BRONZE})
 
 
+@_register
+def corrupt_row_counts(spark, sf_dir):
+    return corrupt_counts(spark, standin.lake(spark, sf_dir).with_raw(*S.BRONZE))
+
+
 @_register
 def layer_row_counts(spark, sf_dir):
     return op.audit_counts({t.name: _raw(spark, sf_dir, t) for t in S.BRONZE})

@@ -1,7 +1,9 @@
 """A title catalogue derived from the given order tables (FIXTURES.md, section 2).
 
 Orders become titles, open orders are series, their lines are episodes; line
-items become credits and suppliers people. Every row of the tables is used.
+items become credits and suppliers people. Every row of the tables is used. Some text
+is dirty, as in real dumps: unreadable numbers, ratings given twice, episodes and
+credits of unknown titles, and titles longer than a published table takes.
 """
 
 from __future__ import annotations
@@ -75,17 +77,21 @@ def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
         order % 2 == 0, F.col("c_mktsegment")
     ).otherwise(F.concat_ws(
         ",", "c_mktsegment", F.substring("o_orderpriority", 3, 100)))
+    # longer than a published title may be
+    long = F.when(order % 43 == 0, F.repeat(F.lit("x"), 600)).otherwise("")
     of_orders = given["orders"].join(
         given["customer"], F.col("o_custkey") == F.col("c_custkey")
     ).select(
         _title_key("o_orderkey").alias("tconst"),
         kind.alias("titleType"),
-        F.concat(F.lit("Title "), _text(order % 97)).alias("primaryTitle"),
+        F.concat(F.lit("Title "), _text(order % 97), long).alias("primaryTitle"),
         F.lit("orig").alias("originalTitle"),
         F.when(F.col("o_orderpriority") == "5-LOW", "1").otherwise("0").alias("isAdult"),
-        F.when(order % 11 != 0, _text(F.year("o_orderdate"))).alias("startYear"),
+        F.when(order % 19 == 0, "19x5").when(
+            order % 11 != 0, _text(F.year("o_orderdate"))).alias("startYear"),
         null.alias("endYear"),
-        F.when(order % 7 != 0, _text(order % 180 + 1)).alias("runtimeMinutes"),
+        F.when(order % 17 == 0, "n/a").when(
+            order % 7 != 0, _text(order % 180 + 1)).alias("runtimeMinutes"),
         genres.alias("genres"),
     )
     of_lines = lines.select(
@@ -103,17 +109,22 @@ def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "o_orderpriority <> '4-NOT SPECIFIED'"
     ).select(
         _title_key("o_orderkey").alias("tconst"),
-        _quarters(order * 7).alias("averageRating"),
+        F.when(order % 23 == 0, "n/a").otherwise(
+            _text(_quarters(order * 7))).alias("averageRating"),
         (order * 37 % 50000).alias("numVotes"),
     )
+    # some titles are rated twice
+    again = order_ratings.where(F.substring("tconst", 3, 100).cast("bigint") % 41 == 0).select(
+        "tconst", "averageRating", (F.col("numVotes") + 1).alias("numVotes"))
     line_ratings = lines.where("quantity >= 10").select(
         _episode_key().alias("tconst"),
-        _quarters(line * 3 + number * 5).alias("averageRating"),
+        _text(_quarters(line * 3 + number * 5)).alias("averageRating"),
         ((line + number) * 13 % 3000).alias("numVotes"),
     )
     episodes = lines.select(
         _episode_key().alias("tconst"),
-        _title_key("l_orderkey").alias("parentTconst"),
+        F.when((line + number) % 31 == 0, "tt-none").otherwise(
+            _title_key("l_orderkey")).alias("parentTconst"),
         F.when(number != 7, _text(number % 3 + 1)).alias("seasonNumber"),
         _text(number).alias("episodeNumber"),
     )
@@ -121,7 +132,7 @@ def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
                 .when(F.col("l_returnflag") == "R", "actress").otherwise("director"))
     person = F.when(F.col("l_partkey") % 29 == 0, F.lit(-1)).otherwise(F.col("l_suppkey"))
     credits = given["lineitem"].select(
-        _title_key("l_orderkey").alias("tconst"),
+        F.when(line % 37 == 0, "tt-gone").otherwise(_title_key("l_orderkey")).alias("tconst"),
         number.alias("ordering"),
         _padded("nm", person, 7).alias("nconst"),
         category.alias("category"),
@@ -136,7 +147,7 @@ def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
     )
     return {
         S.RAW_TITLES.name: of_orders.unionAll(of_lines),
-        S.RAW_RATINGS.name: order_ratings.unionAll(line_ratings),
+        S.RAW_RATINGS.name: order_ratings.unionAll(again).unionAll(line_ratings),
         S.RAW_EPISODES.name: episodes,
         S.RAW_CREDITS.name: credits,
         S.RAW_PEOPLE.name: people,

@@ -8,12 +8,15 @@ from playbill.functions import decade, first_of, split_list, to_int
 from playbill.schemas import SILVER_CREDITS, SILVER_PEOPLE, SILVER_RATINGS
 
 
-def clean_titles(df: DataFrame) -> DataFrame:
-    """Drop the original title, type four columns, add decade and genre columns."""
+def clean_titles(df: DataFrame, truncate: bool = False) -> DataFrame:
+    """Drop the original title, type four columns, add decade and genre columns.
+
+    With ``truncate`` a decimal reads as its whole part, else as NULL.
+    """
     integers = ("isAdult", "startYear", "endYear", "runtimeMinutes")
     return (
         df.drop("originalTitle")
-        .withColumns({c: to_int(c) for c in integers})
+        .withColumns({c: to_int(c, truncate) for c in integers})
         .withColumns({
             "start_decade": decade("startYear"),
             "genres_array": split_list("genres"),
@@ -27,9 +30,9 @@ def clean_ratings(df: DataFrame) -> DataFrame:
     return df.select(*SILVER_RATINGS.columns)
 
 
-def clean_episodes(df: DataFrame) -> DataFrame:
-    """Type season and episode numbers."""
-    return df.withColumns({c: to_int(c) for c in ("seasonNumber", "episodeNumber")})
+def clean_episodes(df: DataFrame, truncate: bool = False) -> DataFrame:
+    """Type season and episode numbers; ``truncate`` as for titles."""
+    return df.withColumns({c: to_int(c, truncate) for c in ("seasonNumber", "episodeNumber")})
 
 
 def clean_credits(df: DataFrame) -> DataFrame:

@@ -2,91 +2,36 @@
 
 Join strategies are left to Catalyst: it broadcasts a side only when its size
 is under ``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution splits
-skewed partitions of the larger side of sort-merge joins.
+skewed partitions of sort-merge joins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def frequent_keys(
-    df: DataFrame,
-    key: str,
-    support: float = 0.01,
-    min_rows: int = 1_000_000,
-    fraction: float = 0.01,
-) -> list:
-    """Values of ``key`` that hold at least ``support`` of all rows.
-
-    A sample names the candidates, at most ``2 / support`` of them however large
-    the data; their exact counts then decide. Keys with fewer than ``min_rows``
-    rows are never reported, since one task can take them.
-    """
-    keys = df.select(key).where(F.col(key).isNotNull())
-    floor = max(min_rows, support * df.count())
-    sampled = keys.sample(fraction, seed=0).groupBy(key).count()
-    candidates = sampled.where(F.col("count") >= floor * fraction / 2).collect()
-    if not candidates:
-        return []
-    counted = keys.where(F.col(key).isin([r[0] for r in candidates])).groupBy(key).count()
-    return [r[0] for r in counted.where(F.col("count") >= floor).collect()]
-
-
 def enrich(
-    df: DataFrame,
-    dim: DataFrame,
-    key: str,
-    flag: tuple[str, str] | None = None,
-    hot_keys: Sequence = (),
-    salts: int = 64,
+    df: DataFrame, dim: DataFrame, key: str, flag: tuple[str, str] | None = None
 ) -> DataFrame:
     """Optional enrichment: every row of ``df``, with ``dim`` columns if matched.
 
-    ``flag=(name, column)`` adds a boolean telling whether ``column`` has a
-    value. Adaptive execution splits skew on the ``df`` side. It cannot split
-    the ``dim`` side of a left join, so pass ``frequent_keys(dim, key)`` as
-    ``hot_keys`` when copies may pile up there; the result is the same.
+    ``flag=(name, column)`` adds a boolean telling whether ``column`` has a value. This is a
+    left join, written as the matches and the rows without any: adaptive execution can
+    split a hot key on both sides of an inner join, but only on the left side of a left join. The
+    second join meets each key of ``dim`` once, after partial aggregation.
     """
-    if hot_keys:
-        joined = _salted_left_join(df, dim, key, hot_keys, salts)
-    else:
-        joined = df.join(dim, key, "left")
+    matched = df.join(dim, key)
+    alone = df.join(dim.select(key).distinct(), key, "left_anti")
+    joined = matched.unionByName(alone, allowMissingColumns=True)
     if flag:
         name, column = flag
         joined = joined.withColumn(name, F.col(column).isNotNull())
     return joined
 
 
-def _salted_left_join(
-    df: DataFrame, dim: DataFrame, key: str, hot_keys: Sequence, salts: int
-) -> DataFrame:
-    """Left join that spreads the ``dim`` rows of each hot key over ``salts`` parts.
-
-    Rows of ``df`` with a hot key are repeated once per part. All hot keys exist
-    in ``dim``, so a repeat that met an empty part has siblings that matched and
-    can be dropped; rows with any other key are joined as usual. ``dim`` must
-    read its rows in a stable order (a file scan does), or a recomputed task
-    could salt them differently.
-    """
-    hot = F.coalesce(F.col(key).isin(*hot_keys), F.lit(False))
-    parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    part = F.when(hot, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
-    left = df.withColumn("_part", F.explode(parts))
-    right = dim.withColumn(
-        "_part", F.coalesce(part.cast("int"), F.lit(0))
-    ).withColumn("_hit", F.lit(True))
-    joined = left.join(right, [key, "_part"], "left").where(
-        ~hot | F.col("_hit").isNotNull()
-    )
-    return joined.drop("_part", "_hit")
-
-
 def with_role(
     df: DataFrame,
     dim: DataFrame,

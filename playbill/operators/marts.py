@@ -7,8 +7,6 @@ titles and ratings separately in each role: five joins instead of eight.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 
 from playbill.functions import decade, first_known
@@ -27,11 +25,9 @@ ROLE_SUFFIX = {
 }
 
 
-def enrich_titles(
-    basics: DataFrame, ratings: DataFrame, hot_keys: Sequence = ()
-) -> DataFrame:
+def enrich_titles(basics: DataFrame, ratings: DataFrame) -> DataFrame:
     """Every title with its rating, if any. A rating without a value is unrated."""
-    rated = enrich(basics, ratings, "tconst", ("is_rated", "averageRating"), hot_keys)
+    rated = enrich(basics, ratings, "tconst", ("is_rated", "averageRating"))
     return rated.select(*TITLES.columns)
 
 

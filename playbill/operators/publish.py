@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -26,9 +25,9 @@ def _issues(field: Field, has_type: str) -> list[Column]:
         found.append(F.when(col.isNull(), f"{field.name}: null"))
     if field.limit:
         if field.type.startswith("array"):
-            long = F.exists(typed, lambda e: F.length(e) > field.limit)
+            long = F.exists(typed, lambda e: F.octet_length(e) > field.limit)
         else:
-            long = F.length(typed) > field.limit
+            long = F.octet_length(typed) > field.limit
         found.append(F.when(long, f"{field.name}: longer than {field.limit}"))
     return found
 
@@ -66,14 +65,10 @@ def _rows(spark: SparkSession, table: str) -> int:
     return spark.table(table).count() if spark.catalog.tableExists(table) else 0
 
 
-def _largest_bucket(df: DataFrame, key: str, buckets: int) -> int:
-    """Rows of the fullest bucket; partial counts make this safe for hot keys."""
-    sizes = df.groupBy(_bucket(key, buckets).alias("b")).count()
-    return sizes.agg(F.max("count")).first()[0] or 0
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.hash(F.col(key)), F.lit(buckets))
+def stored_buckets(spark: SparkSession, table: str) -> int:
+    """Buckets a table was declared with, 0 if it is not bucketed."""
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Num Buckets'").first()
+    return int(described["data_type"]) if described else 0
 
 
 def publish(
@@ -81,51 +76,51 @@ def publish(
     table: Table,
     database: str,
     mode: str = "overwrite",
-    rows_per_bucket: int = 5_000_000,
-    max_bucket_rows: int = 50_000_000,
+    buckets: int | None = None,
+    layout: str = "bucketed",
 ) -> DataFrame:
-    """Publish a mart as a bucketed, key-sorted table and return its audit row.
-
-    Rows that break the declared rules go to ``<table>_rejected``. The declared
-    number of buckets is a minimum; it grows with the row count, since a bucket
-    is read by one task. Each bucket may be written by several tasks, so a hot
-    key does not end in one. If it would still make a bucket larger than
-    ``max_bucket_rows`` to read, the table is laid out the same way but not
-    declared as bucketed, and readers can split it freely.
-
-    ``overwrite`` replaces the table and can be repeated safely; ``append`` adds
-    the rows again on every call. ``df`` should be a stored layer: it is counted,
-    checked and written in separate passes.
+    """Publish a mart as a catalog table and return its audit row.
+
+    Rows that break the declared rules go to ``<table>_rejected``. ``buckets`` is the declared
+    number unless given; a reader's task takes one bucket, so give more for a larger mart. Each
+    bucket may be written by several tasks, so a hot key does not end in one. With
+    ``layout="sorted"`` rows lie the same way but the table is not declared bucketed,
+    and readers may split it freely.
+
+    ``overwrite`` replaces the table and can be repeated safely; ``append`` adds the rows again
+    on every call, in the layout that the table has. ``df`` should be a stored layer: good
+    and rejected rows are written in separate passes, and each count is taken on its own.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode}")
+    if layout not in ("bucketed", "sorted"):
+        raise ValueError(f"layout must be bucketed or sorted, not {layout}")
     spark, key = df.sparkSession, table.bucket_by
     target, quarantine = (f"`{database}`.`{table.name}{s}`" for s in ("", "_rejected"))
     good, rejected = conform(df, table)
 
     appending = mode == "append" and spark.catalog.tableExists(target)
     before = [_rows(spark, t) if appending else 0 for t in (target, quarantine)]
-    source_rows = df.count()
-    buckets = max(table.buckets, math.ceil(source_rows / rows_per_bucket))
+    declared = stored_buckets(spark, target) if appending else 0
+    count = declared or buckets or table.buckets
+    order = table.publish_order or (key,)
     laid_out = (
-        good.withColumn("_bucket", _bucket(key, buckets))
+        good.withColumn("_bucket", F.pmod(F.hash(key), F.lit(count)))
         .hint("rebalance", "_bucket")
         .drop("_bucket")
     )
     if appending:
-        laid_out.write.insertInto(target)
+        laid_out.sortWithinPartitions(*order).write.insertInto(target)
+    elif layout == "bucketed":
+        laid_out.write.bucketBy(count, key).sortBy(*order).mode("overwrite").format(
+            "parquet").saveAsTable(target)
     else:
-        if _largest_bucket(df, key, buckets) <= max_bucket_rows:
-            writer = laid_out.write.bucketBy(buckets, key).sortBy(key)
-        else:
-            writer = laid_out.sortWithinPartitions(key).write
-        writer.mode("overwrite").format("parquet").saveAsTable(target)
+        laid_out.sortWithinPartitions(*order).write.mode("overwrite").format(
+            "parquet").saveAsTable(target)
+    rejected.write.mode("append" if appending else "overwrite").format("parquet").saveAsTable(
+        quarantine)
+    source_rows = df.count()
     published_rows = _rows(spark, target) - before[0]
-
-    if published_rows == source_rows:
-        # every row fits: no need to read the mart again to find none
-        rejected = rejected.limit(0)
-    rejected.write.mode("append" if appending else "overwrite").format("parquet").saveAsTable(quarantine)
     rejected_rows = _rows(spark, quarantine) - before[1]
     return spark.createDataFrame(
         [(table.name, source_rows, published_rows, rejected_rows,
@@ -146,16 +141,14 @@ def audit_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 def completeness(
     spark: SparkSession, manifest: Iterable[str], tables: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Rows of (table_name, has_rows), one per required table.
+    """Rows of (table_name, row_count, has_rows), one per required table.
 
-    A table passes when it is given and one row can be read; nothing is counted.
+    Every given table is read to its end and counted; one that is not given has no rows.
     """
     required = spark.createDataFrame([(name,) for name in manifest], "table_name string")
-    if not tables:
-        return required.withColumn("has_rows", F.lit(False))
-    filled = reduce(DataFrame.unionAll, [
-        df.limit(1).select(F.lit(name).alias("table_name"), F.lit(True).alias("has_rows"))
-        for name, df in tables.items()
-    ])
-    return required.join(filled, "table_name", "left").select(
-        "table_name", F.coalesce("has_rows", F.lit(False)).alias("has_rows"))
+    if tables:
+        required = required.join(audit_counts(tables), "table_name", "left")
+    else:
+        required = required.withColumn("row_count", F.lit(None).cast("bigint"))
+    rows = F.coalesce("row_count", F.lit(0)).cast("bigint")
+    return required.select("table_name", rows.alias("row_count"), (rows > 0).alias("has_rows"))

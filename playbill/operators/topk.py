@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# key sets up to this many rows are broadcast; larger ones are left to Catalyst
-BROADCAST_KEYS = 10_000
-# buckets of keys whose maxima bound the top groups; more give a tighter bound
-SCORE_BUCKETS = 4096
-
-
 def top_rows(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows; each task keeps only its own best ``k``."""
     return df.orderBy(*order).limit(k)
@@ -36,29 +30,11 @@ def top_groups(
 
 
 def top_keys(df: DataFrame, key: str, score: str, k: int) -> DataFrame:
-    """Keys of the ``k`` groups with the largest ``max(score)``; ties go by key.
-
-    Rows that cannot matter are dropped before grouping, so that only few groups
-    are shuffled. The bound is the k-th largest maximum over buckets of keys:
-    each of those maxima belongs to another group, hence k groups reach the
-    bound and a row below it decides nothing. With fewer than k buckets that
-    have a score there is no bound, and all groups are compared.
-    """
-    buckets = df.groupBy(F.pmod(F.hash(key), F.lit(SCORE_BUCKETS)).alias("_bucket"))
-    best = buckets.agg(F.max(score).alias("_max")).where(F.col("_max").isNotNull())
-    bound = (
-        best.orderBy(F.desc("_max")).limit(k)
-        .agg(F.when(F.count("*") == k, F.min("_max")))
-        .scalar()
-    )
-    groups = df.where(bound.isNull() | (F.col(score) >= bound)).groupBy(key)
-    order = [F.desc_nulls_last("_max"), F.asc(key)]
-    return top_rows(groups.agg(F.max(score).alias("_max")), order, k).select(key)
+    """Keys of the ``k`` groups with the largest ``max(score)``; ties go by key."""
+    groups = df.groupBy(key).agg(F.max(score).alias("_max"))
+    return top_rows(groups, [F.desc_nulls_last("_max"), F.asc(key)], k).select(key)
 
 
 def keep_top_groups(df: DataFrame, key: str, score: str, k: int) -> DataFrame:
     """Rows of the ``k`` groups with the largest ``max(score)``."""
-    winners = top_keys(df, key, score, k)
-    if k <= BROADCAST_KEYS:
-        winners = F.broadcast(winners)
-    return df.join(winners, key, "left_semi")
+    return df.join(top_keys(df, key, score, k), key, "left_semi")

@@ -12,23 +12,18 @@ from functools import partial, reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playbill import schemas as S
 from playbill.operators import (
     clean_credits, clean_episodes, clean_people, clean_ratings, clean_titles,
-    enrich_credits, enrich_episodes, enrich_titles, ensure_database,
-    frequent_keys, publish,
+    enrich_credits, enrich_episodes, enrich_titles, ensure_database, publish,
 )
-from playbill.sources import read_delimited, read_layer, write_layer
+from playbill.sources import corrupt_count, read_delimited, read_layer, write_layer
 
 T = TypeVar("T")
 R = TypeVar("R")
 
-# From this many rows on, a mart with few partition values is written straight
-# from its join. Each task then has enough rows for a good file per value, and
-# gathering the values first would shuffle the widest rows of the whole run.
-DIRECT_ROWS = 1_000_000_000
-
 # raw file -> Silver table and the cleaner between them
 CLEANERS: tuple[tuple[S.Table, S.Table, Callable[[DataFrame], DataFrame]], ...] = (
     (S.RAW_TITLES, S.SILVER_TITLES, clean_titles),
@@ -38,6 +33,9 @@ CLEANERS: tuple[tuple[S.Table, S.Table, Callable[[DataFrame], DataFrame]], ...]
     (S.RAW_PEOPLE, S.SILVER_PEOPLE, clean_people),
 )
 
+# cleaners of tables with integers in their text
+TYPED = (clean_titles, clean_episodes)
+
 # mart -> the Silver tables it reads (besides the titles mart)
 MART_INPUTS: dict[S.Table, tuple[S.Table, ...]] = {
     S.TITLES: (S.SILVER_TITLES, S.SILVER_RATINGS),
@@ -57,57 +55,78 @@ def at_once(action: Callable[[T], R], items: Collection[T]) -> list[R]:
         return list(pool.map(action, items))
 
 
-def _write(root: str, table: S.Table, df: DataFrame, balance: bool = True) -> None:
+def _write(root: str, table: S.Table, df: DataFrame) -> None:
     write_layer(df.select(*table.columns), f"{root}/{table.name}",
-                table.partition_by, balance, table.sort_by)
+                table.partition_by, table.sort_by)
 
 
 def run_silver(
-    spark: SparkSession, bronze: str, silver: str, tables: Collection[S.Table] = S.SILVER
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    tables: Collection[S.Table] = S.SILVER,
+    truncate: bool = False,
+    **options,
 ) -> None:
-    """Clean the raw files into ``tables``. All must exist before any is written."""
+    """Clean the raw files into ``tables``. All must exist before any is written.
+
+    ``options`` go to the reader (``quote``, ``strict_header``, ``sep``, ``null_token``); with
+    ``truncate`` decimals in integer columns read as their whole part.
+    """
     cleaned = [
-        (table, clean(read_raw(spark, bronze, raw)))
+        (table, clean(read_raw(spark, bronze, raw, **options),
+                      **({"truncate": True} if truncate and clean in TYPED else {})))
         for raw, table, clean in CLEANERS if table in tables
     ]
     at_once(lambda item: _write(silver, *item), cleaned)
 
 
+def corrupt_counts(spark: SparkSession, bronze: str, **options) -> DataFrame:
+    """Rows of (table_name, row_count, corrupt_count), one per raw file."""
+    return reduce(DataFrame.unionAll, [
+        corrupt_count(spark, f"{bronze}/{t.name}", t.ddl, t.columns, **options)
+        .select(F.lit(t.name).alias("table_name"), "row_count", "corrupt_count")
+        for t in S.BRONZE
+    ])
+
+
 def run_gold(
     spark: SparkSession,
     silver: str,
     gold: str,
     marts: Collection[S.Table] = S.GOLD,
-    direct_rows: int = DIRECT_ROWS,
+    parent_fallback: bool = False,
 ) -> None:
-    """Build ``marts``; episodes and credits read the finished titles mart."""
+    """Build ``marts``; episodes and credits read the finished titles mart.
+
+    With ``parent_fallback`` an episode without a year takes its series' decade.
+    """
     read = partial(read_layer, spark, silver)
     if S.TITLES in marts:
-        ratings = read(S.SILVER_RATINGS)
-        hot = frequent_keys(ratings, "tconst")
-        _write(gold, S.TITLES, enrich_titles(read(S.SILVER_TITLES), ratings, hot))
-    if set(marts) == {S.TITLES}:
-        return
+        _write(gold, S.TITLES, enrich_titles(read(S.SILVER_TITLES), read(S.SILVER_RATINGS)))
     titles = read_layer(spark, gold, S.TITLES)
-    joined: list[tuple[S.Table, DataFrame, DataFrame]] = []
+    joined: list[tuple[S.Table, DataFrame]] = []
     if S.EPISODES in marts:
-        episodes = read(S.SILVER_EPISODES)
-        joined.append((S.EPISODES, episodes, enrich_episodes(episodes, titles)))
+        joined.append((S.EPISODES, enrich_episodes(
+            read(S.SILVER_EPISODES), titles, parent_fallback)))
     if S.CREDITS in marts:
-        credits, people = read(S.SILVER_CREDITS), read(S.SILVER_PEOPLE)
-        joined.append((S.CREDITS, credits, enrich_credits(credits, titles, people)))
+        joined.append((S.CREDITS, enrich_credits(
+            read(S.SILVER_CREDITS), titles, read(S.SILVER_PEOPLE))))
+    at_once(lambda item: _write(gold, *item), joined)
 
-    def write(item: tuple[S.Table, DataFrame, DataFrame]) -> None:
-        mart, fact, rows = item
-        _write(gold, mart, rows, balance=fact.count() < direct_rows)
 
-    at_once(write, joined)
-
-
-def run_all(spark: SparkSession, bronze: str, silver: str, gold: str) -> None:
+def run_all(
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    gold: str,
+    truncate: bool = False,
+    parent_fallback: bool = False,
+    **options,
+) -> None:
     """The whole run. Every table is overwritten, so a repeat changes nothing."""
-    run_silver(spark, bronze, silver)
-    run_gold(spark, silver, gold)
+    run_silver(spark, bronze, silver, truncate=truncate, **options)
+    run_gold(spark, silver, gold, parent_fallback=parent_fallback)
 
 
 def publish_gold(
@@ -116,10 +135,13 @@ def publish_gold(
     database: str,
     location: str | None = None,
     mode: str = "overwrite",
-    **limits: int,
+    **layout,
 ) -> DataFrame:
-    """Publish the three marts; returns one audit row per mart."""
+    """Publish the three marts; returns one audit row per mart.
+
+    ``layout`` goes to ``publish``: ``buckets`` and ``layout``.
+    """
     ensure_database(spark, database, location)
     audits = at_once(
-        lambda t: publish(read_layer(spark, gold, t), t, database, mode, **limits), S.GOLD)
+        lambda t: publish(read_layer(spark, gold, t), t, database, mode, **layout), S.GOLD)
     return reduce(DataFrame.unionAll, audits)

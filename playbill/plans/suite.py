@@ -41,7 +41,7 @@ def season_episodes(episodes: DataFrame, k: int = 10) -> DataFrame:
 def genre_decade_rating(titles: DataFrame) -> DataFrame:
     """Average rating and number of rated titles per genre and decade."""
     return top_groups(
-        titles.dropna(subset=["primary_genre", "averageRating"]),
+        titles.where(F.col("primary_genre").isNotNull() & F.col("averageRating").isNotNull()),
         ["primary_genre", "start_decade"],
         [F.avg("averageRating").alias("avg_rating"), F.count("*").alias("title_count")],
         [F.asc("start_decade"), F.desc("avg_rating"), F.asc("primary_genre")],
@@ -52,7 +52,8 @@ def rating_gap(episodes: DataFrame, min_episodes: int = 10, k: int = 20) -> Data
     """Series whose episodes are rated furthest above the series itself."""
     own, series = F.avg("episodeAverageRating"), F.avg("seriesAverageRating")
     return top_groups(
-        episodes.dropna(subset=["episodeAverageRating", "seriesAverageRating"]),
+        episodes.where(
+            F.col("episodeAverageRating").isNotNull() & F.col("seriesAverageRating").isNotNull()),
         ["seriesTitle"],
         [own.alias("avg_episode_rating"), series.alias("avg_series_rating"),
          (own - series).alias("rating_gap")],
@@ -77,7 +78,7 @@ def top_credited(
 def runtime_by_type_decade(titles: DataFrame) -> DataFrame:
     """Average runtime per title type and decade."""
     return top_groups(
-        titles.dropna(subset=["runtimeMinutes"]),
+        titles.where(F.col("runtimeMinutes").isNotNull()),
         ["titleType", "start_decade"],
         [F.avg("runtimeMinutes").alias("avg_runtime_minutes"),
          F.count("*").alias("title_count")],

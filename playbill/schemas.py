@@ -14,7 +14,10 @@ UNKNOWN = "unknown"
 
 @dataclass(frozen=True)
 class Field:
-    """One column. ``limit`` counts characters (of each element for arrays)."""
+    """One column. ``limit`` counts UTF-8 bytes (of each element for arrays).
+
+    The published types are VARCHAR(n) of a store that counts bytes there.
+    """
 
     name: str
     type: str = "string"
@@ -32,6 +35,8 @@ class Table:
     sort_by: tuple[str, ...] = ()
     bucket_by: str | None = None
     buckets: int = 0
+    # order of the rows within a published bucket
+    publish_order: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -42,23 +47,23 @@ class Table:
         return ", ".join(f"`{f.name}` {f.type}" for f in self.fields)
 
 
-def _fields(*specs: str) -> tuple[Field, ...]:
-    """Fields from ``"name type"`` pairs; the type defaults to string."""
-    return tuple(Field(*s.split()) for s in specs)
+def _texts(*names: str) -> tuple[Field, ...]:
+    return tuple(Field(name) for name in names)
 
 
 # ---- raw files: tab separated, one header line, \N for NULL ----------------
 
-RAW_TITLES = Table("title.basics.tsv", _fields(
+RAW_TITLES = Table("title.basics.tsv", _texts(
     "tconst", "titleType", "primaryTitle", "originalTitle", "isAdult",
     "startYear", "endYear", "runtimeMinutes", "genres"))
-RAW_RATINGS = Table("title.ratings.tsv", _fields(
-    "tconst", "averageRating double", "numVotes bigint"))
-RAW_EPISODES = Table("title.episode.tsv", _fields(
+RAW_RATINGS = Table("title.ratings.tsv", (
+    Field("tconst"), Field("averageRating", "double"), Field("numVotes", "bigint")))
+RAW_EPISODES = Table("title.episode.tsv", _texts(
     "tconst", "parentTconst", "seasonNumber", "episodeNumber"))
-RAW_CREDITS = Table("title.principals.tsv", _fields(
-    "tconst", "ordering int", "nconst", "category", "job", "characters"))
-RAW_PEOPLE = Table("name.basics.tsv", _fields(
+RAW_CREDITS = Table("title.principals.tsv", (
+    Field("tconst"), Field("ordering", "int"), Field("nconst"), Field("category"),
+    Field("job"), Field("characters")))
+RAW_PEOPLE = Table("name.basics.tsv", _texts(
     "nconst", "primaryName", "birthYear", "deathYear", "primaryProfession",
     "knownForTitles"))
 
@@ -66,17 +71,19 @@ BRONZE = (RAW_TITLES, RAW_RATINGS, RAW_EPISODES, RAW_CREDITS, RAW_PEOPLE)
 
 # ---- Silver ----------------------------------------------------------------
 
-SILVER_TITLES = Table("title_basics", _fields(
-    "tconst", "primaryTitle", "isAdult int", "startYear int", "endYear int",
-    "runtimeMinutes int", "genres", "genres_array array<string>",
-    "primary_genre", "titleType", "start_decade"),
+SILVER_TITLES = Table("title_basics", (
+    Field("tconst"), Field("primaryTitle"), Field("isAdult", "int"),
+    Field("startYear", "int"), Field("endYear", "int"), Field("runtimeMinutes", "int"),
+    Field("genres"), Field("genres_array", "array<string>"), Field("primary_genre"),
+    Field("titleType"), Field("start_decade")),
     partition_by=("titleType", "start_decade"))
 SILVER_RATINGS = Table("title_ratings", RAW_RATINGS.fields)
-SILVER_EPISODES = Table("title_episode", _fields(
-    "tconst", "parentTconst", "seasonNumber int", "episodeNumber int"))
-SILVER_CREDITS = Table("title_principals", _fields(
+SILVER_EPISODES = Table("title_episode", (
+    Field("tconst"), Field("parentTconst"), Field("seasonNumber", "int"),
+    Field("episodeNumber", "int")))
+SILVER_CREDITS = Table("title_principals", _texts(
     "tconst", "nconst", "characters", "category"), partition_by=("category",))
-SILVER_PEOPLE = Table("name_basics", _fields("nconst", "primaryName"))
+SILVER_PEOPLE = Table("name_basics", _texts("nconst", "primaryName"))
 
 SILVER = (SILVER_TITLES, SILVER_RATINGS, SILVER_EPISODES, SILVER_CREDITS,
           SILVER_PEOPLE)
@@ -101,7 +108,7 @@ TITLES = Table("titles_enriched", (
     partition_by=("titleType", "start_decade"),
     # row groups get narrow vote ranges, so "votes >= n" can skip them
     sort_by=("numVotes",),
-    bucket_by="tconst", buckets=8)
+    bucket_by="tconst", buckets=8, publish_order=("tconst",))
 
 EPISODES = Table("episodes_enriched", (
     Field("tconst", limit=20, required=True),
@@ -126,7 +133,7 @@ EPISODES = Table("episodes_enriched", (
     partition_by=("start_decade",),
     # rows of one series lie together, so its repeated columns compress well
     sort_by=("parentTconst",),
-    bucket_by="parentTconst", buckets=8)
+    bucket_by="parentTconst", buckets=8, publish_order=("tconst",))
 
 CREDITS = Table("cast_credits", (
     Field("tconst", limit=20, required=True),
@@ -143,6 +150,6 @@ CREDITS = Table("cast_credits", (
     Field("category", limit=50, required=True)),
     partition_by=("category",),
     sort_by=("tconst",),
-    bucket_by="tconst", buckets=16)
+    bucket_by="tconst", buckets=16, publish_order=("tconst", "nconst", "category"))
 
 GOLD = (TITLES, EPISODES, CREDITS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -12,30 +13,50 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # target of rebalanced writes, and so of layer files
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # hash instead of sort a join whose every shuffled partition is this small; the
-    # sizes are those measured in the run, and anything larger is sort-merged
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+PARTITIONS = "spark.sql.shuffle.partitions"
 
-def shuffle_partitions(
-    shuffled_bytes: int, cores: int, target: int = 512 << 20, most: int = 40_000
-) -> int:
-    """Shuffle partitions for the largest shuffle of a job.
 
-    Adaptive execution merges partitions that turn out small but does not split
-    evenly large ones, so this should err on the high side. ``most`` bounds the
-    map-output bookkeeping; past it partitions grow and sorts spill to disk.
+def shuffle_partitions(input_bytes: int, cores: int, target: int = 128 << 20) -> int:
+    """Shuffle partitions for a job over so many stored bytes, some per core at least.
+
+    Adaptive execution merges partitions that turn out small but does not split evenly
+    large ones, so this errs on the high side: one for each ``target`` of the input, which
+    holds as shuffles carry fewer columns than the files and are compressed too.
     """
-    return max(cores, min(most, math.ceil(shuffled_bytes / target)))
+    return max(2 * cores, math.ceil(input_bytes / target))
+
+
+def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes of all files below the paths, as the store tells; absent paths have none."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in map(hadoop.Path, paths):
+        store = path.getFileSystem(conf)
+        if store.exists(path):
+            total += store.getContentSummary(path).getLength()
+    return total
+
 
+def launched(spark: SparkSession) -> dict[str, str]:
+    """Settings that the application was launched with."""
+    return dict(spark.sparkContext.getConf().getAll())
 
-def job_session(app: str) -> SparkSession:
-    """A session with the job settings, except those the launcher already set."""
+
+def job_session(app: str, inputs: Iterable[str] = ()) -> SparkSession:
+    """A session with the job settings, except those the launcher already set.
+
+    The number of shuffle partitions follows from the bytes of the job's ``inputs``.
+    """
     spark = SparkSession.builder.appName(app).getOrCreate()
-    launched_with = dict(spark.sparkContext.getConf().getAll())
-    for key, value in JOB_CONF.items():
+    launched_with = launched(spark)
+    settings = dict(JOB_CONF)
+    if inputs:
+        settings[PARTITIONS] = str(shuffle_partitions(
+            stored_bytes(spark, inputs), spark.sparkContext.defaultParallelism))
+    for key, value in settings.items():
         if key not in launched_with:
             spark.conf.set(key, value)
     return spark

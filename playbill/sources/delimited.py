@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,20 @@ def write_delimited(
     )
 
 
+def corrupt_count(
+    spark: SparkSession, path: str, schema: str, columns: Sequence[str], **options
+) -> DataFrame:
+    """One row (row_count, corrupt_count): lines that are short, long or hold an unreadable cell.
+
+    All of ``columns`` are read, since cells are checked only where they are."""
+    rows = read_delimited(spark, path, schema, corrupt_column="_corrupt", **options)
+    # always true, which the optimizer cannot know, so it has every cell read
+    read = F.length(F.concat_ws("", *(F.col(c).cast("string") for c in columns))) >= 0
+    return rows.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(read & F.col("_corrupt").isNotNull()).alias("corrupt_count"))
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Rows of (column_name, null_count), from one pass over the data."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

@@ -29,18 +29,17 @@ def write_layer(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
-    balance: bool = True,
     sort_by: Sequence[str] = (),
     mode: str = "overwrite",
 ) -> None:
     """Write Snappy Parquet, optionally in Hive-style partitions.
 
-    ``balance`` gathers each partition value before the write, so that small
-    values get one file. Unlike a plain ``repartition`` on those columns, the
+    Each partition value is gathered before the write, so that small values get
+    one file. Unlike a plain ``repartition`` on those columns, the
     rebalance hint lets adaptive execution split a value that is too large for
     one task (one category may hold a third of all credits) into many files.
     """
-    if partition_by and balance:
+    if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
@@ -51,13 +50,14 @@ def write_layer(
 
 
 def partition_files(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Files and rows per partition value of a file-backed table.
+    """Files, bytes and rows per partition value of a file-backed table.
 
     Counts per file first, so the second step sees one row per file.
     """
-    per_file = df.groupBy(*partition_by, F.col("_metadata.file_path")).agg(
-        F.count("*").alias("rows")
-    )
+    per_file = df.groupBy(
+        *partition_by, F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size")
+    ).agg(F.count("*").alias("rows"))
     return per_file.groupBy(*partition_by).agg(
-        F.count("*").alias("file_count"), F.sum("rows").alias("row_count")
+        F.count("*").alias("file_count"), F.sum("size").alias("byte_count"),
+        F.sum("rows").alias("row_count")
     )

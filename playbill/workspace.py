@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,11 @@ from pyspark.sql import SparkSession
 def workspace(spark: SparkSession) -> str:
     """A new, unused directory every executor can reach.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
-    A temporary folder of this machine is used only in local mode.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, or where that is
+    unset in the warehouse, which all executors share too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{root.rstrip('/')}/playbill-{uuid.uuid4().hex[:12]}"

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from playbill.operators import enrich, frequent_keys, orphans, with_role
+from playbill.operators import enrich, orphans, with_role
 from tests.helpers import plan, rows, same_rows
 
 
@@ -29,43 +29,30 @@ def _skewed(spark, tmp_path):
             spark.read.parquet(f"{tmp_path}/dim"))
 
 
-def test_a_sample_finds_hot_keys(spark):
-    df = spark.range(300_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    assert frequent_keys(df, "k", min_rows=1000) == [-1]
-
-
-@pytest.mark.parametrize("salts", [1, 3, 64, 2000])
-def test_salted_enrichment_equals_the_plain_join(spark, tmp_path, salts):
+def test_enrichment_equals_a_left_join(spark, tmp_path):
     df, dim = _skewed(spark, tmp_path)
-    hot = frequent_keys(dim, "k", support=0.1, min_rows=100, fraction=1.0)
-    assert hot == ["hot"]
-    plain = enrich(df, dim, "k", ("rated", "r"))
-    salted = enrich(df, dim, "k", ("rated", "r"), hot, salts)
-    assert salted.columns == plain.columns
-    assert salted.count() == 1200 + 1 + 1 + 150
-    assert same_rows(salted, plain)
+    got, plain = enrich(df, dim, "k"), df.join(dim, "k", "left")
+    assert got.columns == plain.columns
+    assert got.count() == 1200 + 1 + 1 + 150
+    assert same_rows(got, plain)
 
 
-def test_salting_spreads_the_hot_key(spark, tmp_path, conf):
+def test_a_hot_key_of_the_dimension_is_split(spark, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
     conf("spark.sql.shuffle.partitions", "16")
-    df, dim = _skewed(spark, tmp_path)
-
-    def largest(joined):
-        sizes = joined.groupBy(F.spark_partition_id()).count()
-        return sizes.agg(F.max("count")).first()[0]
-
-    assert largest(enrich(df, dim, "k")) >= 1200
-    assert largest(enrich(df, dim, "k", hot_keys=["hot"], salts=64)) < 400
-
-
-def test_frequent_keys_ignores_null_and_small_tables(spark, tmp_path):
-    _, dim = _skewed(spark, tmp_path)
-    assert frequent_keys(dim, "k") == []
-    assert frequent_keys(dim.where("k is null"), "k", min_rows=1, fraction=1.0) == []
-    assert frequent_keys(dim.where("k <> 'hot'"), "k", support=0.1, min_rows=1, fraction=1.0) == []
+    facts, titles = _hot_facts(spark, tmp_path)
+    ratings = facts.withColumnRenamed("k", "id")
+    got = enrich(titles, ratings, "id")
+    got.collect()
+    assert "SortMergeJoin(skew=true)" in plan(got).split("Initial Plan")[0]
+    # maxima keep both payload columns in the shuffles
+    hot_rows = got.groupBy(F.spark_partition_id()).agg(
+        F.count_if(F.col("id") == -1).alias("hot"), F.max("text"), F.max("name"))
+    per_task = [r["hot"] for r in hot_rows.collect()]
+    assert sum(per_task) == 20_000 and max(per_task) < 10_000
 
 
 def _hot_facts(spark, tmp_path):
@@ -98,19 +85,6 @@ def test_adaptive_execution_splits_hot_fact_keys(spark, tmp_path, conf, how):
     assert got.count() == 60_000
 
 
-@pytest.mark.parametrize("largest,used", [("1m", "ShuffledHashJoin"), ("1k", "SortMergeJoin")])
-def test_joins_are_hashed_only_when_every_partition_is_small(
-        spark, tmp_path, conf, largest, used):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", largest)
-    conf("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", largest)
-    facts, dim = _hot_facts(spark, tmp_path)
-    got = with_role(facts, dim, "k", "id", {"name": "name"})
-    assert got.agg(F.count("name")).first()[0] == 60_000
-    got.collect()
-    assert used in plan(got).split("Initial Plan")[0]
-
-
 def test_one_dimension_in_two_roles(spark):
     fact = spark.createDataFrame([("a", "b"), ("b", "b"), ("a", "gone"), ("a", None)],
                                  "child string, parent string")

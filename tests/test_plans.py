@@ -1,17 +1,20 @@
 import pytest
+from pyspark.sql import functions as F
 
 from contract import standin
 from playbill import (
-    SUITE, publish_gold, run_all, run_gold, run_query, run_silver, workspace,
+    SUITE, corrupt_counts, publish_gold, run_all, run_gold, run_query, run_silver, workspace,
 )
-from playbill.operators import audit_counts, clean_episodes
+from playbill.operators import audit_counts, clean_episodes, conform
 from playbill.plans.layers import read_raw
 from playbill.schemas import (
-    BRONZE, CREDITS, EPISODES, GOLD, RAW_EPISODES, SILVER, SILVER_EPISODES, TITLES,
+    BRONZE, CREDITS, EPISODES, GOLD, RAW_CREDITS, RAW_EPISODES, RAW_PEOPLE, RAW_RATINGS,
+    RAW_TITLES, SILVER, SILVER_EPISODES, TITLES,
 )
 from playbill.__main__ import main
-from playbill.session import JOB_CONF, job_session, shuffle_partitions
-from playbill.sources import partition_files, read_layer, register_views
+from playbill.session import JOB_CONF, PARTITIONS, job_session, shuffle_partitions, stored_bytes
+from playbill import session
+from playbill.sources import partition_files, read_layer, register_views, write_layer
 from tests.helpers import rows, same_rows, write_text
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -42,7 +45,9 @@ def test_raw_text_equals_its_source(spark, lake):
     made = standin.bronze_frames(standin.tables(spark, SF_DIR))
     for table in BRONZE:
         back = read_raw(spark, lake.bronze, table)
-        assert same_rows(back, made[table.name].select(*table.columns))
+        expected = made[table.name].select(*[
+            F.col(f.name).try_cast(f.type).alias(f.name) for f in table.fields])
+        assert same_rows(back, expected)
 
 
 def test_silver_keeps_what_the_cleaner_gives(spark, lake):
@@ -69,20 +74,40 @@ def test_single_tables_and_marts_can_be_built(spark, lake, tmp_path):
     assert not (tmp_path / "gold" / EPISODES.name).exists()
 
 
-def test_large_marts_are_written_without_another_shuffle(spark, lake, tmp_path, conf):
-    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_each_value_of_a_partition_is_gathered(spark, lake, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    run_gold(spark, lake.silver, f"{tmp_path}/gold", [TITLES])
-    files = {}
-    for direct_rows in (0, 1_000_000_000):
-        run_gold(spark, lake.silver, f"{tmp_path}/gold", [EPISODES, CREDITS], direct_rows)
-        for mart in (EPISODES, CREDITS):
-            got = read_layer(spark, f"{tmp_path}/gold", mart)
-            assert same_rows(got, read_layer(spark, lake.gold, mart))
-        stats = partition_files(got, CREDITS.partition_by)
-        files[direct_rows] = [r["file_count"] for r in stats.collect()]
-    # one file per task and category, against one per category
-    assert files == {0: [4, 4, 4], 1_000_000_000: [1, 1, 1]}
+    run_gold(spark, lake.silver, f"{tmp_path}/gold")
+    got = read_layer(spark, f"{tmp_path}/gold", CREDITS)
+    stats = partition_files(got, CREDITS.partition_by).collect()
+    assert [r["file_count"] for r in stats] == [1, 1, 1]
+    assert sum(r["row_count"] for r in stats) == got.count()
+
+
+def test_job_options_reach_the_reader_and_the_marts(spark, tmp_path):
+    bronze, silver, gold = (f"{tmp_path}/{x}" for x in ("bronze", "silver", "gold"))
+    lines = {
+        RAW_TITLES: ['t1\ttvSeries\t"Quoted"\to\t0\t1985\t\\N\t12.7\tWar',
+                     't2\ttvEpisode\tEp\to\t0\t\\N\t\\N\tx\tWar'],
+        RAW_RATINGS: ["t1\t8.0\t5", "t2\tbad\t5", "t3\t1.0"],
+        RAW_EPISODES: ["t2\tt1\t1.5\t2"], RAW_CREDITS: ["t1\t1\tn1\tactor\t\\N\t\\N"],
+        RAW_PEOPLE: ["n1\tAnn\t\\N\t\\N\t\\N\t\\N"],
+    }
+    (tmp_path / "bronze").mkdir()
+    for table, text in lines.items():
+        write_text(tmp_path / "bronze" / table.name, "\t".join(table.columns), *text)
+    run_all(spark, bronze, silver, gold)
+    titles = read_layer(spark, gold, TITLES)
+    assert rows(titles, "primaryTitle", "runtimeMinutes") == [('"Quoted"', None), ("Ep", None)]
+    assert rows(read_layer(spark, gold, EPISODES), "start_decade") == [("unknown",)]
+    run_all(spark, bronze, silver, gold, truncate=True, parent_fallback=True, quote='"',
+            strict_header=True)
+    assert rows(read_layer(spark, gold, TITLES), "primaryTitle", "runtimeMinutes") == [
+        ("Ep", None), ("Quoted", 12)]
+    assert rows(read_layer(spark, gold, EPISODES), "seasonNumber", "start_decade") == [(1, "1980")]
+    bad = {r["table_name"]: (r["row_count"], r["corrupt_count"])
+           for r in corrupt_counts(spark, bronze).collect()}
+    assert bad.pop(RAW_RATINGS.name) == (3, 2)
+    assert set(bad.values()) == {(1, 0), (2, 0)}
 
 
 def test_missing_raw_file_stops_before_any_write(spark, tmp_path):
@@ -97,15 +122,21 @@ def test_missing_raw_file_stops_before_any_write(spark, tmp_path):
 
 def test_publish_all_marts(spark, lake, tmp_path):
     audit = publish_gold(spark, lake.gold, "all_marts", f"{tmp_path}/tables")
-    assert [r["balanced"] for r in audit.collect()] == [True] * 3
-    # the named queries give the same over published tables as over views
+    for row in audit.collect():
+        assert row["balanced"] and row["rejected_rows"] > 0
+        quarantine = spark.table(f"all_marts.{row['table_name']}_rejected")
+        assert quarantine.count() == row["rejected_rows"]
+    # the named queries give the same over published tables as over views of the same rows
     for mart in GOLD:
         spark.catalog.dropTempView(mart.name)
     spark.sql("use all_marts")
     published = {name: run_query(spark, name).collect() for name in SUITE}
     spark.sql("use default")
-    register_views(spark, lake.gold, GOLD)
+    for mart in GOLD:
+        good, _ = conform(read_layer(spark, lake.gold, mart), mart)
+        good.createOrReplaceTempView(mart.name)
     assert published == {name: run_query(spark, name).collect() for name in SUITE}
+    register_views(spark, lake.gold, GOLD)
     spark.sql("drop database all_marts cascade")
 
 
@@ -120,17 +151,17 @@ class _Session:
         self.conf = settings
 
 
-def test_workspace_uses_a_local_folder_only_in_local_mode():
-    local = _Session(**{"spark.master": "local[2]"})
-    assert workspace(local).startswith("/tmp")
+def test_workspace_lies_in_a_shared_folder():
+    shared = _Session(**{"spark.master": "local[2]", "spark.sql.warehouse.dir": "/shared/tables"})
+    assert workspace(shared).startswith("/shared/tables/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace(_Session(**{"spark.master": "spark://host:7077"}))
+        workspace(_Session(**{"spark.master": "local[2]"}))
 
 
 def test_shuffle_partitions():
-    assert shuffle_partitions(1 << 20, cores=8) == 8
-    assert shuffle_partitions(1 << 40, cores=8) == 2048
-    assert shuffle_partitions(100 << 40, cores=8) == 40_000
+    assert shuffle_partitions(1 << 20, cores=8) == 16
+    assert shuffle_partitions(1 << 40, cores=8) == 8192
+    assert shuffle_partitions(100 << 40, cores=8) == 819_200
 
 
 def test_job_session_keeps_what_the_launcher_set(spark, conf):
@@ -143,13 +174,50 @@ def test_job_session_keeps_what_the_launcher_set(spark, conf):
 
 
 def test_command_line(spark, lake, tmp_path, capsys, conf):
-    for key, value in JOB_CONF.items():
+    for key, value in {**JOB_CONF, PARTITIONS: "4"}.items():
         conf(key, value)
     main(["etl", lake.bronze, f"{tmp_path}/silver", f"{tmp_path}/gold"])
     assert _counts(spark, f"{tmp_path}/gold", GOLD) == _counts(spark, lake.gold, GOLD)
-    main(["publish", f"{tmp_path}/gold", "cli", "--location", f"{tmp_path}/tables"])
-    main(["query", f"{tmp_path}/gold", "q5_top_credited"])
-    assert "credit_count" in capsys.readouterr().out
-    assert spark.table("cli.cast_credits").count() == spark.read.parquet(
-        f"{tmp_path}/gold/cast_credits").count()
+    main(["publish", f"{tmp_path}/gold", "cli", "--location", f"{tmp_path}/tables",
+          "--layout", "sorted"])
+    assert "cast_credits" in capsys.readouterr().out
+    main(["query", f"{tmp_path}/gold", "q5_top_credited", f"{tmp_path}/out"])
+    got = spark.read.option("header", True).csv(f"{tmp_path}/out")
+    assert got.columns == ["primaryName", "credit_count"]
+    assert got.count() == run_query(spark, "q5_top_credited").count() > 0
+    main(["suite", f"{tmp_path}/gold", f"{tmp_path}/all"])
+    for name in SUITE:
+        spark.read.option("header", True).csv(f"{tmp_path}/all/{name}").count()
+    main(["corrupt", lake.bronze, f"{tmp_path}/corrupt"])
+    assert spark.read.option("header", True).csv(f"{tmp_path}/corrupt").count() == 5
     spark.sql("drop database cli cascade")
+
+
+def test_a_query_writes_all_of_its_rows(spark, tmp_path, conf):
+    for key, value in {**JOB_CONF, PARTITIONS: "4"}.items():
+        conf(key, value)
+    titles = spark.range(300).selectExpr(
+        "concat('t', id) as tconst", "'movie' as titleType", "concat('G', id) as primary_genre",
+        "cast(id % 10 as double) as averageRating", "'1990' as start_decade")
+    frame = titles.select(*[
+        (F.col(f.name) if f.name in titles.columns else F.lit(None)).cast(f.type).alias(f.name)
+        for f in TITLES.fields])
+    write_layer(frame, f"{tmp_path}/{TITLES.name}", TITLES.partition_by)
+    for mart in (EPISODES, CREDITS):
+        write_layer(spark.createDataFrame([], mart.ddl), f"{tmp_path}/{mart.name}")
+    main(["query", str(tmp_path), "q3_genre_decade_rating", f"{tmp_path}/out"])
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out").count() == 300
+
+
+def test_partitions_follow_from_the_input(spark, lake, conf, monkeypatch):
+    conf(PARTITIONS, "4")
+    size = stored_bytes(spark, [lake.bronze, f"{lake.bronze}/absent"])
+    assert size > 100_000
+    launched = dict(spark.sparkContext.getConf().getAll())
+    monkeypatch.setattr(session, "shuffle_partitions", lambda n, cores: n // 1000)
+    job_session("sized", [lake.bronze])
+    # the tests' launcher sets the number, which stands
+    assert PARTITIONS in launched and spark.conf.get(PARTITIONS) == "4"
+    monkeypatch.setattr(session, "launched", lambda spark: {})
+    main(["corrupt", lake.bronze, f"{lake.root}/corrupt"])
+    assert spark.conf.get(PARTITIONS) == str(size // 1000)

@@ -46,10 +46,13 @@ def test_conform_names_missing_columns(spark):
         conform(spark.createDataFrame([("a",)], "id string"), PEOPLE)
 
 
-def test_limits_count_characters(spark):
-    df = spark.createDataFrame([("日本語字", None, None)], "id string, age int, tags array<string>")
+def test_limits_count_bytes(spark):
+    df = spark.createDataFrame(
+        [("éé", None, ["é"]), ("ééa", None, None), ("a", None, ["éé"])],
+        "id string, age int, tags array<string>")
     good, rejected = conform(df, PEOPLE)
-    assert (good.count(), rejected.count()) == (1, 0)
+    assert rows(good, "id") == [("éé",)]
+    assert rows(rejected, "reject_reason") == [("id: longer than 4",), ("tags: longer than 3",)]
 
 
 def test_publish_audits_and_quarantines(spark, database):
@@ -94,23 +97,45 @@ def _described(spark, table):
             for r in spark.sql(f"describe formatted {table}").collect()}
 
 
-def test_buckets_grow_with_the_rows(spark, database):
-    publish(_numbered(spark), NUMBERED, database, rows_per_bucket=100)
+def test_buckets_are_declared_by_the_caller(spark, database):
+    df = _numbered(spark)
+    publish(df, NUMBERED, database, buckets=20)
     described = _described(spark, f"{database}.numbered")
     assert described["Num Buckets"] == "20"
     assert described["Bucket Columns"] == "[`key`]" and described["Sort Columns"] == "[`key`]"
-    publish(_numbered(spark), NUMBERED, database, rows_per_bucket=100_000)
+    publish(df, NUMBERED, database)
     assert _described(spark, f"{database}.numbered")["Num Buckets"] == "4"
+    ordered = replace(NUMBERED, publish_order=("key", "value"))
+    publish(df, ordered, database)
+    assert _described(spark, f"{database}.numbered")["Sort Columns"] == "[`key`, `value`]"
+
 
+def test_append_follows_the_table_as_it_is(spark, database):
+    df = _numbered(spark)
+    publish(df, NUMBERED, database, buckets=2)
+    audit = publish(df, NUMBERED, database, "append", buckets=101)
+    assert rows(audit) == [("numbered", 2000, 2000, 0, True)]
+    table = spark.table(f"{database}.numbered")
+    assert _described(spark, f"{database}.numbered")["Num Buckets"] == "2"
+    per_bucket = table.select("_metadata.file_path", (F.pmod(F.hash("key"), F.lit(2))).alias("b")).distinct()
+    assert per_bucket.count() == per_bucket.select("file_path").distinct().count()
+    assert same_rows(table, df.unionAll(df))
 
-def test_a_hot_key_is_not_put_in_one_bucket(spark, database):
+
+def test_a_sorted_layout_is_not_declared_bucketed(spark, database):
     df = _numbered(spark, hot=700)
-    audit = publish(df, NUMBERED, database, max_bucket_rows=600)
+    audit = publish(df, NUMBERED, database, layout="sorted")
     assert rows(audit) == [("numbered", 2000, 2000, 0, True)]
     assert "Num Buckets" not in _described(spark, f"{database}.numbered")
     assert same_rows(spark.table(f"{database}.numbered"), df)
-    # a later append follows the table as it is
     assert rows(publish(df, NUMBERED, database, "append")) == [("numbered", 2000, 2000, 0, True)]
+    with pytest.raises(ValueError, match="heap"):
+        publish(df, NUMBERED, database, layout="heap")
+
+
+def test_more_buckets_than_rows_need_are_no_fault(spark, database):
+    df = _numbered(spark, n=300)
+    assert rows(publish(df, NUMBERED, database, buckets=1000)) == [("numbered", 300, 300, 0, True)]
 
 
 def test_a_hot_bucket_is_written_by_several_tasks(spark, database, conf, tmp_path):
@@ -139,5 +164,5 @@ def test_audit_counts_and_completeness(spark):
     some, none = spark.range(5), spark.range(0)
     assert rows(audit_counts({"some": some, "none": none})) == [("none", 0), ("some", 5)]
     audit = completeness(spark, ["some", "none", "absent"], {"some": some, "none": none})
-    assert rows(audit) == [("absent", False), ("none", False), ("some", True)]
-    assert rows(completeness(spark, ["a"], {})) == [("a", False)]
+    assert rows(audit) == [("absent", 0, False), ("none", 0, False), ("some", 5, True)]
+    assert rows(completeness(spark, ["a"], {})) == [("a", 0, False)]
