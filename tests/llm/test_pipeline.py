@@ -1,0 +1,92 @@
+"""The pipeline against a plain version of each of its stages, over whole tables."""
+
+import hashlib
+import re
+
+import duckdb
+import public_tokenizers
+import pytest
+
+import corpus_pipeline as pipeline
+from playbill.llm import bpe
+from playbill.llm.queries import table
+from tests.llm.helpers import fresh, gram_set, linked_groups
+from tests.llm.test_decontaminate import expected as plain_findings
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def kept(spark, tmp_path_factory):
+    """What each stage kept, in order."""
+    root, docs, result = tmp_path_factory.mktemp("stages"), table(spark, SF_DIR, "documents"), []
+    for name, stage in pipeline.STAGES:
+        path = f"{root}/{name}"
+        stage(spark, docs, SF_DIR).write.parquet(path)
+        docs = spark.read.parquet(path)
+        result.append(docs)
+    return result
+
+
+def texts(df):
+    return dict(df.select("doc_id", "text").collect())
+
+
+def test_all_but_the_last_stage_return_the_columns_of_documents(spark, kept):
+    columns = table(spark, SF_DIR, "documents").columns
+    assert all(df.columns == columns for df in kept[:-1])
+    assert 4 <= len(pipeline.STAGES) <= 5
+
+
+def test_documents_with_letters_stay(spark, kept):
+    given = texts(table(spark, SF_DIR, "documents"))
+    assert texts(kept[0]) == {k: t for k, t in given.items() if t and any(map(str.isalpha, t))}
+
+
+def test_one_of_exact_copies_stays(kept):
+    groups = {}
+    for key, text in texts(kept[0]).items():
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", text), []).append((-len(text), key))
+    assert set(texts(kept[1])) == {min(g)[1] for g in groups.values()}
+
+
+def test_one_of_near_copies_stays(kept):
+    given = sorted(texts(kept[1]).items())
+    roots = linked_groups([gram_set(t, 5) for _, t in given], 80)
+    assert set(texts(kept[2])) == {given[r][0] for r in roots}
+
+
+def test_contaminated_documents_go(kept):
+    items = duckdb.sql(f"select item_id, text from '{SF_DIR}/benchmark.parquet'").fetchall()
+    given = texts(kept[2])
+    found = plain_findings(list(given.items()), items)
+    assert set(texts(kept[3])) == {k for k in given if not found[k][3]}
+
+
+def test_what_stays_is_encoded(kept):
+    encoder = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    expected = {}
+    for key, text in texts(kept[3]).items():
+        ids = encoder.encode_ordinary(text)
+        expected[key] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                         hashlib.sha256(text.encode()).hexdigest(), True)
+    assert {r[0]: tuple(r[1:]) for r in kept[4].collect()} == expected
+
+
+def test_run_is_the_stages_in_order(spark, kept):
+    got = pipeline.run(spark, SF_DIR)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, kept[4].collect()))
+
+
+def test_stages_take_odd_tables(spark, tmp_path):
+    rows = [(1, None, "en", "s", 0, 9), (2, "", None, None, None, 9), (None, "the house and the garden", "en", "s", 1, 9),
+            (3, "the house and the garden", "en", "s", 1, 9), (3, "the house and the garden", "en", "s", 1, 9),
+            (4, "word " * 30_000, "en", "s", 1, 9), (5, "...", "en", "s", 1, 9)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, class int"
+    for given, left in ((rows, [3, 4]), ([], [])):
+        docs = spark.createDataFrame(given, schema)
+        for name, stage in pipeline.STAGES:
+            path = f"{fresh(tmp_path)}-{name}"
+            docs.write.parquet(path)
+            docs = stage(spark, spark.read.parquet(path), SF_DIR)
+        assert sorted(r.doc_id for r in docs.collect()) == left
