@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.arrow import slices, text_bytes
+from playbill.llm.labels import sample
 from playbill.llm.words import VISIBLE, mixed, runs, words
 
 FEATURES = (
@@ -24,8 +25,8 @@ FEATURES = (
     "distinct_lines", "commonest_word", "symbol_words",
 )
 
-#: labelled rows learned from at most, those with the smallest hash
-SAMPLE_ROWS = 20_000
+#: labelled rows of either label learned from, about, those with the smallest hash
+SAMPLE_ROWS = 10_000
 BINS = 48
 PAIR_BINS = 8
 ROUNDS = 150
@@ -242,22 +243,21 @@ def described(rows: DataFrame) -> DataFrame:
         run, ", ".join(["quality bigint", *(f"{f} double" for f in FEATURES)]))
 
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """A model from rows (doc_id, text, quality 0 or 1), of which at most about ``rows`` are used.
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+    """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality 0 or 1).
 
-    Those have the smallest hashes; the cut follows from the number of rows. The driver gets
-    their features, a bounded number of bytes, and never a text. Without rows all score alike.
+    At most about ``rows`` rows of each label are used. The driver gets their features, a
+    bounded number of bytes, and never a text. Without rows all score alike.
     """
-    given = labelled.where("quality in (0, 1)").select(
-        "doc_id", "text", F.col("quality").cast("bigint").alias("quality"))
-    share = min(1.0, rows / max(given.count(), 1))
-    position = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(29)), F.lit(1 << 20)) / float(1 << 20)
-    sample = described(given.where(position < share)).toPandas()
-    if sample.empty:
+    found, odds = sample(docs, labels, "quality", rows)
+    learned = described(found).toPandas()
+    if learned.empty:
         return Model([], [], [], [], [], 0.0)
     # an order of its own, so that sums do not depend on which task came first
-    sample = sample.sort_values([*FEATURES, "quality"])
-    return train(sample[list(FEATURES)].to_numpy(), sample.quality.to_numpy().astype(float))
+    learned = learned.sort_values([*FEATURES, "quality"])
+    model = train(learned[list(FEATURES)].to_numpy(), learned.quality.to_numpy().astype(float))
+    model.start -= odds
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

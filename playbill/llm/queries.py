@@ -84,23 +84,18 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (language.remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """doc_id, text and the label of the labelled documents; one row of labels per doc_id."""
-    labels = table(spark, sf_dir, "labels").where(F.col(label).isNotNull())
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(
-        labels.groupBy("doc_id").agg(F.max(label).alias(label)), "doc_id")
-
-
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    machine = toxicity.fit(labelled(spark, sf_dir, "toxic").where(language.remainder(4) != 2))
-    return toxicity.predict(table(spark, sf_dir, "documents"), machine).select(
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(language.remainder(4) != 2)
+    return toxicity.predict(docs, toxicity.fit(docs, labels, workspace(spark))).select(
         "doc_id", (language.remainder(4) == 2).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(labelled(spark, sf_dir, "quality").where(language.remainder(3) != 1))
-    return quality.predict(table(spark, sf_dir, "documents"), model).select(
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(language.remainder(3) != 1)
+    return quality.predict(docs, quality.fit(docs, labels)).select(
         "doc_id", (language.remainder(3) == 1).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

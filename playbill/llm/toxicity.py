@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.arrow import slices, text_bytes
+from playbill.llm.labels import sample
 from playbill.llm.words import VISIBLE, mixed, words
 
 ORDER = 3
@@ -253,19 +254,6 @@ def word_counts(sample: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
-def bounded(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most about ``rows`` rows of each label, those with the smallest hash.
-
-    The hash's cut follows from the number of rows of the label, so every task chooses for itself.
-    """
-    counts = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    share = F.lit(1.0)
-    for label, count in counts.items():
-        share = F.when(F.col("toxic") == label, min(1.0, rows / count)).otherwise(share)
-    position = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
-    return labelled.where(position < share)
-
-
 def _likelihood(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
     """Log likelihood ratio of a word being as frequent in toxic documents as in others."""
     total, share = toxic + other, n_toxic / (n_toxic + n_other)
@@ -309,16 +297,24 @@ def _support_vectors(
     return w[:-1], float(w[-1])
 
 
-def fit(labelled: DataFrame, rounds: int = 3) -> Machine:
-    """A machine from rows (doc_id, text, toxic 0 or 1), of which a bounded sample is used.
+def fit(docs: DataFrame, labels: DataFrame, work: str, rounds: int = 3) -> Machine:
+    """A machine from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0 or 1).
 
-    Of each kind at most SAMPLE_ROWS rows and SAMPLE_WORDS words are learned from. If one of the labels
-    is missing, every score is the share of toxic rows.
+    Of each kind at most about SAMPLE_ROWS rows and SAMPLE_WORDS words are learned from; the sample is
+    stored under ``work``. If one of the labels is missing, every score is the share of toxic rows.
     """
-    sample = bounded(
-        labelled.where("text is not null and toxic in (0, 1)")
-        .select("doc_id", "text", F.col("toxic").cast("bigint").alias("toxic"))
-    ).withColumn("apart", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(3)) == 0)
+    found, odds = sample(docs, labels, "toxic", SAMPLE_ROWS)
+    found.withColumn(
+        "apart", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(3)) == 0
+    ).write.parquet(f"{work}/labelled")
+    learned = docs.sparkSession.read.parquet(f"{work}/labelled")
+    machine = _fitted(learned, rounds)
+    # the sample may hold a larger share of one label than there is
+    machine.curve[-1] -= odds
+    return machine
+
+
+def _fitted(sample: DataFrame, rounds: int) -> Machine:
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
     counts = word_counts(sample.where("not apart")).where("toxic + other > 1")

@@ -54,12 +54,14 @@ def test_scores_are_sums_of_table_entries():
 
 def test_fit_and_predict_over_odd_rows(spark):
     rows = [(k, ("LOUD!! " * 9) if k % 3 else f"Calm words number {k} stand here.", int(k % 3 == 0)) for k in range(90)]
-    model = quality.fit(spark.createDataFrame(rows + [(500, "x", None)], SCHEMA + ", quality int").repartition(3))
+    given = spark.createDataFrame(rows + [(500, "x", None), (0, "again", 0)], SCHEMA + ", quality int")
+    model = quality.fit(given.repartition(3), given.select("doc_id", "quality"))
     docs = spark.createDataFrame(
         [(k, t, "c") for k, t in enumerate(TEXTS)] + [(None, "x", "c"), (1, "", "c")], SCHEMA + ", quality string")
     got = quality.predict(docs, model).collect()
     assert len(got) == len(TEXTS) + 2 and all(0 <= r.score <= 1 for r in got)
     assert {r.doc_id: r.score for r in got}[5] < 0.5
     assert quality.predict(docs.where("false"), model).count() == 0
-    none = quality.fit(spark.createDataFrame([], SCHEMA + ", quality int"))
+    none = spark.createDataFrame([], SCHEMA + ", quality int")
+    none = quality.fit(none, none)
     assert {r.score for r in quality.predict(docs, none).collect()} == {0.5}

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from playbill.llm import toxicity as tox
-from tests.llm.helpers import SCHEMA
+from tests.llm.helpers import SCHEMA, fresh
 
 CLEAN = "river stone garden window teacher morning letter bridge market summer idea lose clone track".split()
 BAD = "grumbler blockhead snotnose".split()
@@ -46,7 +46,7 @@ def test_words_and_sentences():
 
 
 @pytest.fixture(scope="module")
-def machine(spark):
+def machine(spark, tmp_path_factory):
     rnd, rows = random.Random(6), []
     for k in range(400):
         words = [rnd.choice(CLEAN) + rnd.choice(["", "s", "ly"]) for _ in range(30)]
@@ -55,7 +55,8 @@ def machine(spark):
             words[rnd.randrange(30)] = rnd.choice(BAD)
         rows.append((k, " ".join(words), int(toxic)))
     rows += [(1000, None, 1), (1001, "river", None)]
-    return tox.fit(spark.createDataFrame(rows, SCHEMA + ", toxic int").repartition(2))
+    given = spark.createDataFrame(rows, SCHEMA + ", toxic int").repartition(2)
+    return tox.fit(given, given.select("doc_id", "toxic"), str(tmp_path_factory.mktemp("fit")))
 
 
 def test_gapped_and_padded_insults_are_found(spark, machine):
@@ -72,9 +73,10 @@ def test_gapped_and_padded_insults_are_found(spark, machine):
     assert tox.predict(docs.where("false"), machine).count() == 0
 
 
-def test_one_label_alone(spark):
+def test_one_label_alone(spark, tmp_path):
     for label, side in ((0, 0.0), (1, 1.0)):
-        alone = tox.fit(spark.createDataFrame([(1, "river", label), (2, "stone", label)], SCHEMA + ", toxic int"))
+        given = spark.createDataFrame([(1, "river", label), (2, "stone", label)], SCHEMA + ", toxic int")
+        alone = tox.fit(given, given, fresh(tmp_path))
         (row,) = tox.predict(spark.createDataFrame([(3, "window")], SCHEMA), alone).collect()
         assert row.score == pytest.approx(side, abs=1e-3)
 
