@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: bytes of text handled at once by numpy code, which holds some arrays of eight times that
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

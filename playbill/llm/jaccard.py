@@ -35,7 +35,7 @@ FILTER_BITS = 22
 #: estimated documents from which a member's postings are dealt out by document, not by member
 HOT = 20_000
 #: postings a task gathers before it passes them on
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 _BLOCK = 1 << 14
 
 

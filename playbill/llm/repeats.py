@@ -27,7 +27,7 @@ FILTER_BITS = 23
 BLOCK_BYTES = 512 << 10
 HOT_BYTES = 1 << 20
 #: anchors a task gathers before it passes them on
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 
 _ANCHOR = np.dtype([("anchor", "<u8"), ("class", "<i8"), ("first", "<i8")])
 _WINDOW = np.dtype([("hash", "<u8"), ("other", "<u8"), ("anchor", "<i8"), ("content", "<i8"),
