@@ -11,8 +11,6 @@ long as the window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 
 LENGTH = 400
