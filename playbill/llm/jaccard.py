@@ -250,19 +250,17 @@ def postings(
      .write.parquet(path))
 
 
-def _pair_common(like: Similarity) -> str:
-    """SQL: members that sets of a_size and b_size must share to be similar."""
-    whole = 100 + like.percent
-    return f"({like.percent} * (a_size + b_size) + {whole - 1}) div {whole}"
+def _sizes_fit(like: Similarity) -> str:
+    """SQL: whether sets of a_size and b_size members can be similar at all."""
+    return f"100 * least(a_size, b_size) >= {like.percent} * greatest(a_size, b_size)"
 
 
 def pruned(stored: DataFrame, like: Similarity, work: str, rounds: int = 2) -> DataFrame:
-    """Postings of classes that may have links: member, class, size, length, matches, reach.
+    """Postings of classes that may have links: member, class, size, length, matches.
 
-    ``reach`` is how many members of a class can be common with another's: all but those of
-    the prefix that no other class has. A class goes if it has fewer shared prefix members
-    than the least matches of the smallest set similar to it, or a smaller reach than such
-    a set asks for; then members go that one class alone has left.
+    A class goes if it has fewer shared prefix members than the least matches of the smallest
+    set similar to it; then members go that one class alone has left. A member that no other
+    prefix has may still be in other sets, past their prefixes, so nothing else follows from it.
     """
     spark = stored.sparkSession
     facts = stored.where("member is null").drop("member")
@@ -270,10 +268,9 @@ def pruned(stored: DataFrame, like: Similarity, work: str, rounds: int = 2) -> D
     for number in range(rounds):
         fits = (
             found.groupBy("class").agg(F.count(F.lit(1)).alias("n")).join(facts, "class")
-            .withColumn("reach", F.expr("size - length + n"))
             .withColumn("smallest", F.expr(f"({like.percent} * size + 99) div 100"))
-            .where("reach >= smallest and n >= smallest div 16 + if(smallest < 16, 1, 0)")
-            .select(*facts.columns, "reach"))
+            .where("n >= smallest div 16 + if(smallest < 16, 1, 0)")
+            .select(*facts.columns))
         left = found.select("member", "class").join(fits, "class")
         several = left.groupBy("member").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         left.join(several.select("member"), "member").write.parquet(f"{work}/pruned-{number}")
@@ -340,39 +337,59 @@ def verified(pairs: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-_SIDE = ("class", "size", "matches", "reach")
+_SIDE = ("class", "size", "matches")
 
 
 def through_centres(found: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs (a, b) of each class with the class of greatest reach among those it shares a
-    prefix member with, member by member: as many as postings, at most."""
-    centre = found.groupBy("member").agg(F.min(F.struct(
-        F.expr("size - reach"), *(F.col(c).alias(f"b_{c}") for c in _SIDE))).alias("centre"))
+    """Pairs (a, b) of each class with one among those it shares a prefix member with, member by
+    member: as many as postings, at most. It is the class with most shared prefix members
+    for its prefix, which in a group of near copies is one that is little changed."""
+    shared = found.groupBy("class").agg(F.count(F.lit(1)).alias("shared"))
+    centre = found.join(shared, "class").groupBy("member").agg(F.min(F.struct(
+        F.expr("length - shared"), *(F.col(c).alias(f"b_{c}") for c in _SIDE))).alias("centre"))
     return (
         found.select("member", *(F.col(c).alias(f"a_{c}") for c in _SIDE))
         .join(centre, "member").select("*", "centre.*")
-        .where(f"a_class <> b_class and least(a_reach, b_reach) >= {_pair_common(like)}")
+        .where(f"a_class <> b_class and {_sizes_fit(like)}")
         .select(F.expr("least(a_class, b_class) as a"), F.expr("greatest(a_class, b_class) as b"))
         .distinct())
 
 
 def across(found: DataFrame, labels: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs (a, b) of classes in different components with enough common prefix members."""
+    """Pairs (a, b) of classes in different components that may be similar.
+
+    A class shares prefix members with a component first: it is paired with those of the
+    component's classes only if these members are as many as any of them could ask for. So the
+    members that a group of near copies has in common are met once for each class, not for each pair.
+    Of two components the one with fewer classes asks.
+    """
     labelled = found.join(labels, F.col("class") == F.col("node"), "left").select(
         "member", *_SIDE, F.coalesce("component", "class").alias("label"))
     several = labelled.groupBy("member").agg(
         F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
     left = labelled.join(several.select("member"), "member")
-    a, b = (left.select("member", *(F.col(c).alias(f"{s}_{c}") for c in (*_SIDE, "label")))
-            for s in "ab")
+    classes = left.select(*_SIDE, "label").distinct()
+    weights = classes.groupBy("label").agg(F.count(F.lit(1)).alias("weight"))
+    left = left.join(weights, "label")
+    asking = left.select(
+        "member", "label", "weight", *(F.col(c).alias(f"a_{c}") for c in _SIDE))
+    asked = left.groupBy("member", F.col("label").alias("b_label")).agg(
+        F.first("weight").alias("b_weight"), F.min("matches").alias("b_matches"),
+        F.min("size").alias("least_size"), F.max("size").alias("most_size"))
+    near = (
+        asking.join(asked, "member")
+        .where("struct(weight, label) < struct(b_weight, b_label) "
+               f"and 100 * a_size >= {like.percent} * least_size "
+               f"and 100 * most_size >= {like.percent} * a_size")
+        .groupBy(*(f"a_{c}" for c in _SIDE), "b_label")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("b_matches").alias("b_matches"))
+        .where("n >= least(a_matches, b_matches)").drop("b_matches"))
+    others = classes.select(F.col("label").alias("b_label"),
+                            *(F.col(c).alias(f"b_{c}") for c in _SIDE))
     return (
-        a.join(b, "member")
-        .where(f"a_class < b_class and a_label <> b_label "
-               f"and least(a_reach, b_reach) >= {_pair_common(like)}")
-        .groupBy(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"),
-             F.first(F.least("a_matches", "b_matches")).alias("asked"))
-        .where("n >= asked").select("a", "b"))
+        near.join(others, "b_label")
+        .where(f"{_sizes_fit(like)} and n >= least(a_matches, b_matches)")
+        .select(F.col("a_class").alias("a"), F.col("b_class").alias("b")))
 
 
 def similar(
