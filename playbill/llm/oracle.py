@@ -119,9 +119,83 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
 from doc left join hits using (r) left join items using (r)
 """
 
+OP11 = """
+with vectors as (
+  select row_number() over () as r, vec_id,
+         list_transform(embedding, lambda c: floor(1024 * cast(c as double))) as x
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+usual as (
+  select len(x) as length from vectors group by all order by count(*) desc, length desc limit 1),
+taking_part as (select vectors.* from vectors, usual where len(x) = length),
+scored as (
+  select q.r, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.x, c.x) as bigint) as score,
+         row_number() over (
+           partition by q.r order by list_dot_product(q.x, c.x) desc, c.vec_id) as rank
+  from taking_part q join taking_part c on q.r <> c.r where q.vec_id % 100 = 0)
+select query_id, cast(rank as int) as rank, vec_id, score from scored where rank <= 10
+"""
+
+# the checksum of the digits of a number, eight bits a step; words are numbered from 0
+OP13 = r"""
+with entry as (
+  select list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t),
+doc as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as given,
+         xor(list_reduce(
+           list_prepend(4294967295, list_transform(
+             string_split(cast(doc_id as varchar), ''), lambda d: cast(ascii(d) as bigint))),
+           lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) as h
+  from documents, entry),
+places as (
+  select *, len(given) as n, h // 10 as g,
+         case when h % 10 = 0 and len(given) > 0 then (h // 10) % len(given) end as a
+  from doc),
+w as (
+  select r, i, given[1 + case when i >= a then a + (i - a) % (1 + (n - a) // (3 + g % 8)) else i end]
+           as word
+  from (select *, unnest(range(n)) as i from places)),
+grams as (
+  select r, i, hash(word, lead(word, 1) over p, lead(word, 2) over p, lead(word, 3) over p,
+                    lead(word, 4) over p, lead(word, 5) over p) as key
+  from w window p as (partition by r order by i)),
+met as (
+  select distinct x.r, x.i - y.i as q
+  from grams x join grams y on x.r = y.r and x.key = y.key and x.i > y.i),
+-- whole diagonals of the lags that six words in a row agree on
+matches as (
+  select met.r, q, x.i, x.i - row_number() over (partition by met.r, q order by x.i) as stretch
+  from met join w x on x.r = met.r join w y on y.r = met.r and y.i = x.i - q
+  where x.word = y.word),
+stretches as (
+  select r, q, min(i) - q as start, count(*) + q as length
+  from matches group by r, q, stretch),
+runs as (
+  select r, start, length, min(q) as period from stretches
+  where length >= greatest(12, 2 * q) group by r, start, length),
+found as (
+  select r, count(*) as n_runs, arg_min({'start': start, 'length': length, 'period': period},
+                                        {'l': -length, 's': start, 'p': period}) as longest,
+         string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as said
+  from runs group by r),
+dropped as (select distinct r, unnest(range(start + period, start + length)) as i from runs),
+kept as (
+  select r, string_agg(word, ' ' order by i) as text from w anti join dropped using (r, i) group by r)
+select doc_id, coalesce(n_runs, 0) as n_runs, longest.start as start, longest.length as length,
+       longest.period as period, 1000 * longest.length // longest.period as exponent_milli,
+       sha256(coalesce(said, '')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
+from doc left join found using (r) left join kept using (r)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard": OP1,
     "op5_suffix_repeats": OP5,
     "op6_decontamination": OP6,
     "op10_exact_dedup": OP10,
+    "op11_exact_top_k": OP11,
+    "op13_periodic_runs": OP13,
 }

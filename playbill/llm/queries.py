@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from playbill import workspace
 from playbill.llm import (
-    bpe, decontaminate, exact, jaccard, language, quality, repeats, shards, token_files,
-    toxicity,
+    bpe, decontaminate, exact, jaccard, language, periodic, quality, repeats, shards, token_files,
+    topk, toxicity, whitening,
 )
 
 
@@ -105,6 +105,52 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), workspace(spark))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, "embedding", whitening.fit(rows, "embedding"), ("vec_id",))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; the words of every tenth text, by checksum of its doc_id, become periodic
+    from a word that follows from the checksum too, and are joined by one space."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(
+        F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    numbers = docs.select("doc_id", "text", checksum.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, words)).select(
+        "*", F.size("words").cast("bigint").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    numbers = numbers.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    numbers = numbers.withColumn("rest", (F.col("n") - F.col("a")).cast("int")).withColumn(
+        "p", (1 + F.floor(F.col("rest") / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.slice(
+        F.flatten(F.array_repeat(
+            F.slice("words", F.col("a") + 1, F.col("p")),
+            F.ceil(F.col("rest") / F.col("p")).cast("int"))),
+        1, F.col("rest"))
+    changed = F.array_join(F.concat(F.slice("words", 1, F.col("a")), tail), " ")
+    return numbers.select(
+        "doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.detect(with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("shortness"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("longest.start").alias("start"),
+        (-F.col("longest.shortness")).alias("length"), F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.shortness") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_ngram_jaccard,
@@ -117,5 +163,8 @@ QUERIES = {
         op8_toxicity,
         op9_quality,
         op10_exact_dedup,
+        op11_exact_top_k,
+        op12_whitening,
+        op13_periodic_runs,
     )
 }
