@@ -20,7 +20,7 @@ ALPHANUMERIC = np.zeros(256, bool)
 ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 _ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
+_PLACE = 0xD1B54A32D192ED03
 
 
 @dataclass
@@ -51,23 +51,11 @@ def _byte_values() -> np.ndarray:
     return values
 
 
-_powers: list[np.ndarray] = []
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64, for texts of ``n`` bytes."""
-    if not _powers or len(_powers[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        _powers[:] = [
-            np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
-            for base in (_ODD, _INVERSE)]
-    return _powers
-
-
 def words(data: np.ndarray, begin: np.ndarray, members: np.ndarray) -> Words:
     """Words of texts of which the k-th is ``data[begin[k]:begin[k + 1]]``, hashed without case.
 
-    The hash of a word is a polynomial in its bytes, taken from running sums.
+    The hash of a word is the sum of a mixed value for each byte and its place in the word, taken
+    from running sums; so words collide by chance alone, with odds of about 1 in 2**64.
     """
     n, texts = len(data), len(begin) - 1
     inside = np.zeros(n + 2, bool)
@@ -79,10 +67,12 @@ def words(data: np.ndarray, begin: np.ndarray, members: np.ndarray) -> Words:
     before = edges[edges > 0] - 1
     ends[before] = inside[1:-1][before]
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    powers, inverses = (t[:n] for t in _power_tables(max(n, 1)))
+    origin = np.zeros(n, np.int64)
+    origin[starts] = starts
+    place = (np.arange(n) - np.maximum.accumulate(origin)).astype(np.uint64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_byte_values()[data] * powers, out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverses[starts] if len(starts) else np.zeros(0, np.uint64)
+    np.cumsum(mixed(_byte_values()[data] ^ (place * np.uint64(_PLACE))), out=sums[1:])
+    hashes = sums[ends] - sums[starts]
     return Words(starts, ends, mixed(hashes), np.searchsorted(starts, begin))
 
 

@@ -8,6 +8,7 @@ from playbill.llm import jaccard
 from playbill.llm.components import components
 from playbill.llm.jaccard import Similarity
 from tests.llm.helpers import SCHEMA, fresh, gram_set, linked_groups, stored
+from tests.llm.test_words import thue_morse
 
 ODD = [None, "", "  ", "one", "ONE", "one two", "one two three", "one  two three", "a b c d", "b a c d"]
 
@@ -64,6 +65,11 @@ def test_members_expected_everywhere_are_dealt_out_by_class(spark, tmp_path, mon
     check(spark, tmp_path, corpus(21, 60), Similarity(4, 85))
 
 
+def test_very_long_words_that_resemble_each_other(spark, tmp_path):
+    texts = [w for n in (256, 1024) for w in thue_morse(n)] + ["a" * 200_000, "a" * 200_000 + "b", "A" * 200_000]
+    check(spark, tmp_path, texts + [f"x {t} y z" for t in texts], Similarity(4, 85))
+
+
 def test_repeated_rows_and_null_keys(spark, tmp_path):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (None, "z z"), (3, None)]
     docs = stored(spark, tmp_path, rows)

@@ -10,7 +10,9 @@ from playbill.llm import token_files as tf
 from tests.llm.helpers import SCHEMA, fresh
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["", " ", "a  b", "a \n b.", "x\t y", "don't, 's!", " lead", "trail ", "é.ü!", " x", "..,", "a\x1c b", "(1)2,3"]
+ODD = ["", " ", "a  b", "a \n b.", "x\t y", "don't, 's!", " lead", "trail ", "é.ü!", " x", "..,", "a\x1c b", "(1)2,3",
+       "see <|endoftext|> here", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|>.", "x<|endoftext|>,y", "<|endoftext| >",
+       "\n<|endoftext|>\n \n", "<|endoftext|>!"]
 
 
 @pytest.fixture(scope="module")

@@ -51,3 +51,16 @@ def test_slices_keep_all_rows_whole():
     parts = list(slices(iter([batch, batch.slice(2, 3)]), "text", 10))
     assert [x for p in parts for x in p["k"].to_pylist()] == [*range(7), 2, 3, 4]
     assert all(len(text_bytes(p["text"])[0]) <= 10 or p.num_rows == 1 for p in parts)
+
+
+def thue_morse(n):
+    """A word over a and b, and its complement; a polynomial modulo 2**64 tells them not apart."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_hashes_have_no_structural_collisions():
+    texts = [w for n in (256, 1024, 4096) for w in thue_morse(n)]
+    texts += ["ab" * 40, "ba" * 40, "a" * 80, "a" * 81, "aa\x00", "aa", "xa" * 33, "ax" * 33]
+    data, begin = text_bytes(pa.array(texts))
+    assert len(set(words(data, begin, VISIBLE).hash.tolist())) == len(texts)
