@@ -18,7 +18,9 @@ import hashlib
 import os
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -62,37 +64,53 @@ def piece_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
     Their split never joins a visible character to white space that follows it, nor a letter or
     digit to punctuation that follows it. So a text is cut before each space or line
     end after a visible character, and pieces are encoded once, without the punctuation at
-    their ends. Ids of pieces are kept in the process, from task to task, up to ``kept`` of
-    them; then the store starts anew, so memory is bounded.
+    their ends. Ids of pieces are kept in the process, from task to task, in two halves of up to
+    ``kept`` in all; when the newer is full it becomes the older, so memory is bounded.
     """
-    tokenizer, known = _tokenizer(path), {}
+    if sys.byteorder != "little" or array("I").itemsize != 4:
+        raise RuntimeError("ids are kept as this machine's own 32-bit numbers, low byte first")
+    tokenizer, known, before = _tokenizer(path), {}, {}
 
     def learn(found: list[str]) -> dict[str, bytes]:
-        halves = {}
+        whole, halves, ids = {}, {}, {}  # in the order found, each piece once
         for piece in found:
-            stem = piece.rstrip(_PUNCTUATION)
-            halves[piece] = (
-                (stem, piece[len(stem):]) if stem and stem[-1].isalnum() else (piece, ""))
-        new = [p for p in dict.fromkeys(p for h in halves.values() for p in h)
-               if p and p not in known]
-        ids = {
-            piece: np.array(e.ids, "<u4").tobytes() for piece, e in
-            zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        ids[""] = b""
+            if piece in before:
+                ids[piece] = before[piece]
+            elif piece[-1].isalnum():
+                whole[piece] = None
+            elif piece not in halves:
+                stem = piece.rstrip(_PUNCTUATION)
+                if stem and stem[-1].isalnum():
+                    tail = piece[len(stem):]
+                    halves[piece] = stem, tail
+                    for half in (stem, tail):
+                        if half in known:
+                            ids[half] = known[half]
+                        elif half in before:
+                            ids[half] = before[half]
+                        else:
+                            whole[half] = None
+                else:
+                    whole[piece] = None
+        for piece, e in zip(
+                whole, tokenizer.encode_batch_fast(list(whole), add_special_tokens=False)):
+            ids[piece] = array("I", e.ids).tobytes()
         for piece, (stem, tail) in halves.items():
-            ids[piece] = (ids.get(stem) or known[stem]) + (
-                ids[tail] if tail in ids else known[tail])
+            ids[piece] = ids[stem] + ids[tail]
         return ids
 
     def encode(text: str) -> np.ndarray:
+        nonlocal known, before
         found = _cut(text) if text else []
         parts = list(map(known.get, found))
         if None in parts:
-            new = learn([p for p, ids in zip(found, parts) if ids is None])
-            parts = [new[p] if ids is None else ids for p, ids in zip(found, parts)]
-            if len(known) + len(new) > kept:
-                known.clear()
-            if len(new) <= kept:
+            missing = [k for k, ids in enumerate(parts) if ids is None]
+            new = learn([found[k] for k in missing])
+            for k in missing:
+                parts[k] = new[found[k]]
+            if len(known) + len(new) > kept // 2:
+                before, known = known, {}
+            if len(new) <= kept // 2:
                 known.update(new)
         return np.frombuffer(b"".join(parts), "<u4")
 
@@ -224,6 +242,8 @@ def write_token_files(
         encode = piece_encoder(tokenizer_file)
         compressor = _compressor(dictionary)
         part, before, most = TaskContext.get().partitionId(), 0, 256 ** width
+        fits = max(end_id, max(_tokenizer(tokenizer_file).get_vocab().values())) < most
+        stored, end = f"<u{width}", end_id.to_bytes(width if end_id < most else 8, "little")
         ids, frames, counts, size = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
@@ -236,12 +256,12 @@ def write_token_files(
         for batch in batches:
             arrow_id = batch.schema.field("doc_id").type
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                found = np.append(encode(text.as_py()), np.uint32(end_id))
-                if found.max() >= most:
+                found = encode(text.as_py())
+                if not fits and found.max(initial=end_id) >= most:
                     raise ValueError(f"an id does not fit into {width} bytes")
                 ids.append(key)
-                frames.append(compressor.compress(found.astype(f"<u{width}").tobytes()))
-                counts.append(len(found))
+                frames.append(compressor.compress(found.astype(stored).tobytes() + end))
+                counts.append(len(found) + 1)
                 size += len(frames[-1])
                 if size >= pack_bytes:
                     yield closed()
