@@ -60,11 +60,50 @@ def test_a_group_whose_members_hardly_resemble_each_other(spark, tmp_path):
     check(spark, tmp_path, texts, Similarity(4, 85))
 
 
-def test_members_expected_everywhere_are_dealt_out_by_class(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(jaccard, "HOT", 0.0)
+def test_members_with_many_salts_are_dealt_out_by_class(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jaccard, "SALT", 0.02)
     check(spark, tmp_path, corpus(21, 60), Similarity(4, 85))
 
 
+def test_a_full_filter_lets_all_rows_pass(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_FILTER_BITS", 3)
+    check(spark, tmp_path, corpus(22, 60), Similarity(4, 85))
+
+
+def half_alike(n, seed=8, words=140):
+    """Texts that share a base, with so many random words in it that few resemble each other."""
+    rnd = random.Random(seed)
+    base = [f"b{k}" for k in range(words)]
+    texts = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rnd.choice([2, 3, 5, 8])):
+            own[rnd.randrange(words)] = f"n{rnd.random()}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_doubling_a_half_alike_group_does_not_quadruple_the_pairs(spark, tmp_path):
+    seen = []
+    for n in (150, 300):
+        work = fresh(tmp_path)
+        docs = stored(spark, tmp_path, list(enumerate(half_alike(n, words=200))))
+        jaccard.similar(docs, work, Similarity(4, 85)).collect()
+        seen.append(sum(spark.read.parquet(f"{work}/pairs-{k}").count() for k in (0, 1)))
+    assert seen[1] < 3 * seen[0]
+
+
+def test_signatures_bound_differences():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        whole = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64))
+        a, b = (np.sort(whole[rng.random(len(whole)) < share]) for share in rng.random(2))
+        bits = sum((int(x ^ y) & (1 << 64) - 1).bit_count()
+                   for x, y in zip(jaccard.signature(a).tolist(), jaccard.signature(b).tolist()))
+        different = len(np.setxor1d(a, b))
+        assert bits <= different and bits % 2 == different % 2
+
+
 def test_very_long_words_that_resemble_each_other(spark, tmp_path):
     texts = [w for n in (256, 1024) for w in thue_morse(n)] + ["a" * 200_000, "a" * 200_000 + "b", "A" * 200_000]
     check(spark, tmp_path, texts + [f"x {t} y z" for t in texts], Similarity(4, 85))
