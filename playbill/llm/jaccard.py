@@ -38,7 +38,7 @@ from playbill.llm.words import VISIBLE, mixed, runs, words
 #: counters of the frequency sketch; its size does not depend on the data
 SKETCH_BITS = 20
 #: bytes of postings that a group of members has, on average
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 #: estimated documents for each salt of a member: its postings are dealt out by class to as many
 #: groups as it has salts, so that no group grows with the frequency of a member
 SALT = 20_000
@@ -213,8 +213,8 @@ def postings(
 ) -> None:
     """Store the members of prefixes that two or more classes have, and a row per class.
 
-    A posting has member and class, a number; the row of a class has no member but its size,
-    length (of its prefix), matches and signature. Tasks pass on packed arrays, one per group of
+    A posting has member and class, two numbers; the row of a class has no member but ``about``: its
+    size, length (of its prefix), matches and signature. Tasks pass on packed arrays, one per group of
     members, so the shuffle moves 12 bytes a posting: the group and half of the member's hash tell it, and
     where two members share both, the classes only look more alike than they are. A group sorts its members
     and drops what only one class has. Members with several salts are certainly shared.
@@ -269,15 +269,17 @@ def postings(
         if size:
             yield from dealt()
 
-    names = ["member", *_FACTS]
-
     def shared(table: pa.Table) -> pa.Table:
         part, salt = table["part"][0].as_py(), table["salt"][0].as_py()
         c = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["classes"]])
         if salt < 0:
             facts = c.reshape(-1, width)
             facts = facts[np.unique(facts[:, 0], return_index=True)[1]]
-            return pa.table([pa.nulls(len(facts), pa.int64()), *map(pa.array, facts.T.copy())], names)
+            about = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(facts) + 1) * (width - 1), pa.int32()),
+                pa.array(facts[:, 1:].ravel()))
+            return pa.table([pa.nulls(len(facts), pa.int64()), pa.array(facts[:, 0].copy()), about],
+                            ["member", "class", "about"])
         m = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["members"]])
         order = np.lexsort((c, m))
         m, c = m[order], c[order]
@@ -289,13 +291,13 @@ def postings(
             first[1:-1] = m[1:] != m[:-1]
             alone = first[:-1] & first[1:]
             m, c = m[~alone], c[~alone]
-        none = pa.nulls(len(m), pa.int64())
         return pa.table([pa.array(m.astype(np.int64) * parts + part), pa.array(c),
-                         *[none] * (width - 1)], names)
+                         pa.nulls(len(m), pa.list_(pa.int64()))], ["member", "class", "about"])
 
     (docs.select("text")
      .mapInArrow(run, "part int, salt int, members binary, classes binary")
-     .groupBy("part", "salt").applyInArrow(shared, ", ".join(f"{n} bigint" for n in names))
+     .groupBy("part", "salt").applyInArrow(
+         shared, "member bigint, class bigint, about array<bigint>")
      .write.parquet(path))
 
 
@@ -305,7 +307,8 @@ def class_rows(stored: DataFrame, like: Similarity, path: str) -> DataFrame:
     ``members`` are those of its prefix that other classes have in theirs. A class with fewer than the
     least matches of the smallest set similar to it has no links.
     """
-    facts = stored.where("member is null").drop("member")
+    facts = stored.where("member is null").select(
+        "class", *(F.col("about")[k].alias(name) for k, name in enumerate(_FACTS[1:])))
     (stored.where("member is not null").groupBy("class")
      .agg(F.collect_list("member").alias("members")).join(facts, "class")
      .withColumn("smallest", F.expr(f"({like.percent} * size + 99) div 100"))
