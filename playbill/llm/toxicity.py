@@ -1,11 +1,14 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a support vector machine.
 
 The kernel counts common subsequences of ORDER characters, each weighted down by the stretch of text
-it takes, so letters put into a word or left out of it only lower it. A word is described by
-its kernel with a few landmark words. Sentences are labelled by their documents; a
-toxic sentence is as toxic as its worst word (multiple instances), so training alternates between
-choosing the worst words of toxic sentences and fitting the machine. A document
-scores as its worst sentence does.
+it takes, so letters put into a word or left out of it only lower it. A sentence is described by
+its words' greatest likeness to each of a few landmark words. Sentences are labelled by their
+documents: of a toxic document one sentence at least is toxic, of any other none is. So training
+alternates between fitting the machine to the worst sentence of each labelled document and choosing the
+worst sentences anew by the machine. In the first rounds landmarks are added to it: words of the
+labelled documents along which its loss falls fastest. A document's score follows from its sentences'
+margins, the worst one and how much the others add to it, through a curve drawn over
+documents that were not learned from.
 """
 
 from __future__ import annotations
@@ -27,16 +30,15 @@ DECAY = 0.7
 #: bytes of a word seen at once; a longer word is seen in windows that overlap by half
 WIDTH = 24
 SHARPNESS = 3
-LANDMARKS = 48
-#: landmark bytes, after which a word is cut to become one
-LANDMARK_WIDTH = 10
+#: landmarks, and how many are added in a round
+LANDMARKS, ADDED = 40, 8
+#: words among which those to add are sought, and the greatest likeness that they may have
+POOL, MOST_ALIKE = 400, 0.3
+#: landmarks are whole words of at most so many bytes
+LANDMARK_WIDTH = 12
 #: labelled rows learned from at most, of either label, those with the smallest hash
 SAMPLE_ROWS = 6_000
-#: words of either kind that the machine is fitted to
-SAMPLE_WORDS = 1_500
-#: log likelihood ratio from which a word is taken to be bad; chance alone seldom gives as much
-LEAST_EVIDENCE = 16.0
-#: words kept in a process with their margins
+#: words kept in a process with their likenesses
 KEPT_WORDS = 1_000_000
 BATCH = 4_096
 
@@ -168,27 +170,81 @@ def windows(word: bytes) -> list[bytes]:
     return [word[k:k + WIDTH] for k in range(0, len(word) - half, half)]
 
 
+class Likenesses:
+    """Likeness of words to landmarks: of each landmark, the greatest of a word's windows.
+
+    Words are kept by hash, up to ``kept`` of them; then the store starts anew.
+    """
+
+    def __init__(self, landmarks: np.ndarray, kept: int = KEPT_WORDS):
+        self.landmarks, self.kept = landmarks, kept
+        self.place: dict[int, int] = {}
+        self.rows = np.zeros((0, len(landmarks)), np.float16)
+
+    def computed(self, found: list[bytes]) -> np.ndarray:
+        result = np.zeros((len(found), len(self.landmarks)), np.float32)
+        parts = [(k, w) for k, word in enumerate(found) for w in windows(word) if len(w) >= ORDER]
+        parts.sort(key=lambda part: len(part[1]))
+        for at in range(0, len(parts), BATCH):
+            batch = parts[at:at + BATCH]
+            symbols = as_symbols([w for _, w in batch], len(batch[-1][1]))
+            np.maximum.at(result, [k for k, _ in batch], likeness(symbols, self.landmarks))
+        return result.astype(np.float16)
+
+    def of(self, found: Tokens) -> np.ndarray:
+        """A row for each word."""
+        distinct, which, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
+        keys = distinct.tolist()
+        place = np.array([self.place.get(h, -1) for h in keys], np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            if len(self.place) + len(new) > self.kept:
+                self.place, new = {}, np.arange(len(keys))
+            begin = len(self.place)
+            if begin + len(new) > len(self.rows):
+                grown = np.zeros((max(begin + len(new), 2 * begin), len(self.landmarks)), np.float16)
+                grown[:begin] = self.rows[:begin]
+                self.rows = grown
+            self.rows[begin:begin + len(new)] = self.computed(spelled_words(found, which[new]))
+            place[new] = np.arange(begin, begin + len(new))
+            self.place.update(zip([keys[k] for k in new], place[new].tolist()))
+        return self.rows[place[inverse]]
+
+
+def described(found: Tokens, known: Likenesses) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sentences of texts: their features, the text of each, and the first word of each."""
+    first = np.flatnonzero(np.diff(found.sentence, prepend=-1))
+    if not len(first):
+        return np.zeros((0, len(known.landmarks)), np.float32), first, first
+    features = np.maximum.reduceat(known.of(found), first, axis=0).astype(np.float32)
+    return features, np.searchsorted(found.first, first, "right") - 1, first
+
+
+#: the worst margin alone
+_NO_CURVE = np.array([1.0, 0.0, 0.0, 0.0])
+
+
 @dataclass
 class Machine:
-    """Landmarks, the weight of the likeness to each, and the curve from a document's sentences
-    to its score."""
+    """Landmarks, the weight of the likeness to each, and the curve from margin to score."""
 
     landmarks: np.ndarray
     weight: np.ndarray
     bias: float
     curve: np.ndarray
 
-    def margins(self, found: list[bytes]) -> np.ndarray:
-        """Margin of each word: the greatest of its windows'."""
-        result = np.full(len(found), self.bias, np.float64)
-        parts = [(k, w) for k, word in enumerate(found) for w in windows(word) if len(w) >= ORDER]
-        parts.sort(key=lambda part: len(part[1]))
-        for at in range(0, len(parts), BATCH):
-            batch = parts[at:at + BATCH]
-            symbols = as_symbols([w for _, w in batch], len(batch[-1][1]))
-            margin = likeness(symbols, self.landmarks) @ self.weight + self.bias
-            np.maximum.at(result, [k for k, _ in batch], margin)
-        return result
+    def margins(self, features: np.ndarray) -> np.ndarray:
+        return features @ self.weight + self.bias
+
+    def evidence(self, found: Tokens, known: Likenesses) -> np.ndarray:
+        """Of each text, what ``_summary`` makes of its sentences' margins."""
+        n = len(found.first) - 1
+        worst, total = np.full(n, self.bias), np.zeros(n)
+        features, text, _ = described(found, known)
+        margin = self.margins(features)
+        np.maximum.at(worst, text, margin)
+        np.add.at(total, text, np.maximum(1 + margin, 0))
+        return _summary(worst, total, np.bincount(text, minlength=n))
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_with_one(evidence) @ self.curve, -50, 50)))
@@ -198,211 +254,248 @@ def _with_one(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x, np.ones(len(x))])
 
 
-def evidence(found: Tokens, machine: Machine, known: dict[int, float]) -> np.ndarray:
-    """Of each text: the margin of its worst word, the sum of positive margins in its worst
-    sentence, the logarithm of one more than that sum over the text, and that of its rate
-    among a hundred words.
-
-    Margins count between -1 and 1, which is where the machine is told to part the words.
-    """
-    margin = np.clip(_word_margins(found, machine, known), -1, 1)
-    result = np.zeros((len(found.first) - 1, 4))
-    result[:, 0] = np.clip(machine.bias, -1, 1)
-    if not len(margin):
-        return result
-    positive = np.maximum(margin, 0)
-    edge = np.flatnonzero(np.diff(found.sentence, prepend=-1))
-    text = np.searchsorted(found.first, edge, "right") - 1
-    np.maximum.at(result[:, 1], text, np.add.reduceat(positive, edge))
-    words_in = np.diff(found.first)
-    filled = np.flatnonzero(words_in)
-    result[filled, 0] = np.maximum.reduceat(margin, found.first[filled])
-    total = np.add.reduceat(positive, found.first[filled])
-    result[filled, 2] = np.log1p(total)
-    result[filled, 3] = np.log1p(100 * total / (words_in[filled] + 20))
-    return result
-
-
-def _word_margins(found: Tokens, machine: Machine, known: dict[int, float]) -> np.ndarray:
-    distinct, which, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
-    margin = np.array([known.get(h, np.nan) for h in distinct.tolist()], np.float64)
-    new = np.flatnonzero(np.isnan(margin))
-    if len(new):
-        margin[new] = machine.margins(spelled_words(found, which[new]))
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-        known.update(zip(distinct[new].tolist(), margin[new].tolist()))
-    return margin[inverse]
+def _summary(worst: np.ndarray, total: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The margin of the worst sentence, up to where the machine parts the labels, the logarithm of
+    one more than the sum of what sentences are short of being clear, and that of its rate among ten
+    sentences."""
+    return np.column_stack([
+        np.minimum(worst, 1), np.log1p(total), np.log1p(10 * total / (n + 5))])
 
 
-def word_counts(sample: DataFrame) -> DataFrame:
-    """Words with the number of toxic and of other labelled documents that have them."""
+def steepest(words_of: DataFrame, residuals: DataFrame) -> list[bytes]:
+    """The POOL words along which the loss falls most: the machine's slope there, squared, by its bend.
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in slices(batches, "text"):
-            found = tokens(batch.column("text"))
-            text = np.searchsorted(found.first, np.arange(len(found.begin)), "right") - 1
-            _, once = np.unique(mixed(found.hash) + text.astype(np.uint64), return_index=True)
-            toxic = np.array(batch.column("toxic").to_pylist(), np.int64)[text[once]]
-            yield pa.RecordBatch.from_pydict({
-                "word": pa.array(spelled_words(found, once), pa.binary()),
-                "toxic": pa.array(toxic), "other": pa.array(1 - toxic)})
-
-    return sample.select("text", "toxic").mapInArrow(
-        run, "word binary, toxic bigint, other bigint"
-    ).where(F.length("word") >= ORDER).groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-
-
-def _likelihood(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
-    """Log likelihood ratio of a word being as frequent in toxic documents as in others."""
-    total, share = toxic + other, n_toxic / (n_toxic + n_other)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        a = np.where(toxic > 0, toxic * np.log(toxic / (total * share)), 0)
-        b = np.where(other > 0, other * np.log(other / (total * (1 - share))), 0)
-    return np.where(toxic / max(n_toxic, 1) > other / max(n_other, 1), 2 * (a + b), 0)
-
-
-def _chosen(bad: list[bytes], plain: list[bytes], landmarks: int) -> np.ndarray:
-    """Landmarks: bad words that are least like those chosen before, then some plain ones."""
-    heads = list(dict.fromkeys(w[:LANDMARK_WIDTH] for w in bad))
-    symbols = as_symbols(heads, LANDMARK_WIDTH)
-    picked, nearest = [], np.zeros(len(heads))
-    for _ in range(min(len(heads), landmarks * 7 // 8)):
-        k = int(nearest.argmin())  # of those alike, the one with most evidence
-        picked.append(k)
-        nearest = np.maximum(nearest, likeness(symbols, symbols[k:k + 1])[:, 0])
-        nearest[k] = np.inf
-    rest = as_symbols([w[:LANDMARK_WIDTH] for w in plain[:landmarks - len(picked)]], LANDMARK_WIDTH)
-    return np.concatenate([symbols[picked], rest])
+    ``words_of`` has row and word, ``residuals`` row, pull (the slope that a row adds) and weigh
+    (the bend that it adds); a word's slope must be downwards, towards toxic.
+    """
+    slopes = (
+        words_of.join(F.broadcast(residuals), "row").groupBy("word")  # a row of the sample each
+        .agg(F.sum("pull").alias("pull"), F.sum("weigh").alias("weigh")).where("pull > 0"))
+    gain = F.round(F.col("pull") * F.col("pull") / (F.col("weigh") + 1), 6)
+    rows = slopes.orderBy(F.desc(gain), "word").limit(POOL).collect()
+    if not rows:
+        return []
+    # words of one form are met together: each is counted with those that it is like
+    found = [bytes(r.word) for r in rows]
+    symbols = as_symbols(found, LANDMARK_WIDTH)
+    alike = likeness(symbols, symbols).astype(np.float64)
+    pull, weigh = (np.array([r[k] for r in rows], float) for k in ("pull", "weigh"))
+    gains = (alike @ pull) ** 2 / (alike ** 2 @ weigh + 1)
+    return [found[k] for k in np.argsort(-np.round(gains, 6), kind="stable")]
+
+
+def added(landmarks: np.ndarray, found: list[bytes], most: int) -> np.ndarray:
+    """The landmarks with up to ``most`` more of the words, in their order, that are little alike."""
+    symbols = as_symbols(found, LANDMARK_WIDTH)
+    picked = list(landmarks)
+    for row in symbols:
+        if len(picked) - len(landmarks) == most:
+            break
+        if not picked or likeness(row[None], np.array(picked)).max() < MOST_ALIKE:
+            picked.append(row)
+    return np.array(picked, np.uint8).reshape(-1, LANDMARK_WIDTH)
 
 
 def _support_vectors(
-    x: np.ndarray, y: np.ndarray, cost: float = 10.0, steps: int = 60
+    kernels: np.ndarray, x: np.ndarray, y: np.ndarray, cost: float = 10.0, sweeps: int = 200
 ) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by Newton steps; both labels weigh the same."""
-    x = np.column_stack([x, np.ones(len(x))])
-    weigh = np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
-    ridge[-1, -1] = 1e-3
-    active = np.ones(len(x), bool)
-    for _ in range(steps):
-        a = x[active] * (cost * weigh[active])[:, None]
-        w = np.linalg.solve(ridge + a.T @ x[active], a.T @ y[active])
-        now = y * (x @ w) < 1
-        if (now == active).all():
+    """Weights of the landmarks and bias of a machine with squared hinge loss; both labels weigh the same.
+
+    ``kernels`` has the landmarks' likeness to each other, by which the Nyström map measures the
+    machine's norm. No weight is negative: that a sentence lacks some word is no evidence, and
+    words put into it never lower its margin. One coordinate after the other is set to where it is
+    best, until none moves.
+    """
+    n, d = x.shape
+    weigh = cost * np.where(y > 0, 0.5 / max((y > 0).mean(), 1e-9), 0.5 / max((y < 0).mean(), 1e-9))
+    columns = [*(y[:, None] * x).T.copy(), y.astype(float)]
+    kernels = kernels.astype(np.float64) + 1e-6 * np.eye(d)
+    w, margin = np.zeros(d + 1), np.zeros(n)
+    for _ in range(sweeps):
+        moved = 0.0
+        for k, column in enumerate(columns):
+            short = np.maximum(1 - margin, 0)
+            pull = weigh * column
+            slope = -pull @ short
+            bend = pull[short > 0] @ column[short > 0] + 1e-6
+            if k < d:
+                slope, bend = slope + kernels[k] @ w[:d], bend + kernels[k, k]
+            step = -slope / bend
+            if k < d:
+                step = max(step, -w[k])
+            if step:
+                w[k] += step
+                margin += step * column
+                moved = max(moved, abs(step))
+        if moved < 1e-6:
             break
-        active = now
-    return w[:-1], float(w[-1])
+    return w[:d], float(w[d])
+
+
+def _fitted(landmarks: np.ndarray, features: np.ndarray, toxic: np.ndarray) -> Machine:
+    # a sentence that is like no landmark is not toxic
+    x = np.concatenate([features, np.zeros((1, len(landmarks)))])
+    y = np.append(np.where(toxic > 0, 1.0, -1.0), -1.0)
+    w, bias = _support_vectors(likeness(landmarks, landmarks), x, y)
+    return Machine(landmarks, w, bias, _NO_CURVE)
 
 
-def fit(docs: DataFrame, labels: DataFrame, work: str, rounds: int = 3) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, work: str, rounds: int = 2) -> Machine:
     """A machine from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0 or 1).
 
-    Of each kind at most about SAMPLE_ROWS rows and SAMPLE_WORDS words are learned from; the sample is
-    stored under ``work``. If one of the labels is missing, every score is the share of toxic rows.
+    Of each label at most about SAMPLE_ROWS rows are learned from, whole; a third of them is kept apart for
+    the curve. The sample and its sentences are stored under ``work``. If one of the labels is missing, or no
+    labelled text has words, every score is the share of toxic rows. Of a doc_id that has several
+    labels the greatest counts; ties among landmarks go to the words that come first. After the rounds that add
+    landmarks come ``rounds`` that do not.
     """
+    spark = docs.sparkSession
     found, odds = sample(docs, labels, "toxic", SAMPLE_ROWS)
-    found.withColumn(
-        "apart", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(3)) == 0
+    found.select(
+        F.xxhash64("doc_id").alias("row"), "text", "toxic",
+        (F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(3)) == 0).alias("apart"),
     ).write.parquet(f"{work}/labelled")
-    learned = docs.sparkSession.read.parquet(f"{work}/labelled")
-    machine = _fitted(learned, rounds)
+    learned = spark.read.parquet(f"{work}/labelled")
+    sizes = {r.toxic: r["count"] for r in learned.groupBy("toxic").count().collect()}
+    n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
+    machine = _trained(learned, sizes, work, rounds) if n_toxic and n_other else None
+    if machine is None:
+        share = np.log(n_toxic / n_other) if n_toxic and n_other else 20.0 if n_toxic else -20.0
+        machine = Machine(np.zeros((1, LANDMARK_WIDTH), np.uint8), np.zeros(1), 0.0,
+                          np.array([0.0, 0.0, 0.0, share]))
     # the sample may hold a larger share of one label than there is
     machine.curve[-1] -= odds
     return machine
 
 
-def _fitted(sample: DataFrame, rounds: int) -> Machine:
-    sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    n_toxic, n_other = sizes.get(1, 0), sizes.get(0, 0)
-    counts = word_counts(sample.where("not apart")).where("toxic + other > 1")
-    none = Machine(np.zeros((1, LANDMARK_WIDTH), np.uint8), np.zeros(1), -1.0,
-                   np.array([0, 0, 0, 0, 20.0 if n_toxic else -20.0]))
-    if not n_toxic or not n_other:
-        return none
-    none.curve[-1] = np.log(n_toxic / n_other)
-    only = counts.where(f"toxic * {n_other} > 4 * other * {n_toxic}")
-    bad = only.orderBy(F.desc("toxic"), "other", "word").limit(SAMPLE_WORDS).toPandas()
-    usual = counts.where("other > 1").orderBy(F.desc("other"), "word").limit(SAMPLE_WORDS).toPandas()
-    if not len(bad) or not len(usual):
-        return none
-    likely = _likelihood(bad.toxic.to_numpy(float), bad.other.to_numpy(float), n_toxic, n_other)
-    strong = bad[likely >= min(LEAST_EVIDENCE, likely.max())]
-    order = likely[strong.index].argsort()[::-1]
-    bad_words = [bytes(w) for w in strong.word.iloc[order]]
-    taken = set(bad_words)
-    plain = [w for w in map(bytes, usual.word) if w not in taken]
-    return _trained(sample, bad_words, plain, rounds)
-
-
-def _disguised(found: list[bytes]) -> list[bytes]:
-    """Each word with a letter put in at one place and left out at another, so that the
-    machine draws its margin around such forms too."""
-    result = []
-    for k, word in enumerate(w for w in found if len(w) > ORDER + 1):
-        at = 1 + k % (len(word) - 2)
-        result.append(word[:at] + b"xqzvj"[k % 5:k % 5 + 1] + word[at:])
-        result.append(word[:-at - 1] + word[len(word) - at:])
-    return result
-
-
-def _described(found: list[bytes], landmarks: np.ndarray) -> np.ndarray:
-    return np.concatenate([
-        likeness(as_symbols(found[k:k + BATCH], WIDTH), landmarks)
-        for k in range(0, len(found), BATCH)])
-
-
-def _trained(
-    sample: DataFrame, bad: list[bytes], plain: list[bytes], rounds: int
-) -> Machine:
-    landmarks = _chosen(bad, plain, LANDMARKS)
-    bad = [*bad, *_disguised(bad[:SAMPLE_WORDS // 8])]
-    values, vectors = np.linalg.eigh(likeness(landmarks, landmarks).astype(np.float64))
-    use = values > 1e-4 * values.max()
-    half = vectors[:, use] / np.sqrt(values[use])
-    for _ in range(rounds):
-        x = _described([*bad, *plain], landmarks) @ half
-        y = np.concatenate([np.ones(len(bad)), -np.ones(len(plain))])
-        w, bias = _support_vectors(x, y)
-        machine = Machine(landmarks, (half @ w).astype(np.float32), bias, np.zeros(5))
-        rows = _sample_evidence(sample, machine).toPandas()
-        # worst words of documents that are not toxic teach what is plain
-        wrong = rows[(rows.toxic == 0) & ~rows.apart & (rows.margin > -0.5)].nlargest(SAMPLE_WORDS // 4, "margin")
-        known = {*bad, *plain}
-        new = [w for w in dict.fromkeys(map(bytes, wrong.word)) if w not in known and len(w) >= ORDER]
-        plain = [*plain, *new]
-        if not new:
-            break
-    # the curve is drawn over rows whose words the machine was not fitted to
-    rows = rows[rows.apart]
-    seen = rows[["margin", "sentence", "total", "rate"]].to_numpy()
-    return Machine(landmarks, machine.weight, machine.bias, _curve(seen, rows.toxic.to_numpy()))
+def _trained(learned: DataFrame, sizes: dict[int, int], work: str, rounds: int) -> Machine | None:
+    spark = learned.sparkSession
+    sentences(learned, f"{work}/sentences")
+    stored = spark.read.parquet(f"{work}/sentences")
+    training = stored.where("not apart")
+    (training.select("row", F.explode("words").alias("word"))
+     .where(F.octet_length("word").between(ORDER, LANDMARK_WIDTH)).distinct()
+     .write.parquet(f"{work}/words"))
+    words_of = spark.read.parquet(f"{work}/words")
+    weigh = {1: 0.5 / sizes[1], 0: 0.5 / sizes[0]}
+    scale = sizes[1] + sizes[0]
+    # at first no margin is kept by any row
+    residuals = training.select("row", F.when(F.col("toxic") == 1, scale * weigh[1]).otherwise(
+        -scale * weigh[0]).alias("pull"), F.when(F.col("toxic") == 1, scale * weigh[1]).otherwise(
+        scale * weigh[0]).alias("weigh")).distinct()
+    machine = Machine(np.zeros((0, LANDMARK_WIDTH), np.uint8), np.zeros(0), 0.0, _NO_CURVE)
+    plain: list[tuple[int, bytes]] = []
+    for number in range(LANDMARKS // ADDED + rounds):
+        if number < LANDMARKS // ADDED:
+            landmarks = added(machine.landmarks, steepest(words_of, residuals), ADDED)
+            if not len(landmarks):
+                return None
+            # until the machine is fitted to them, new landmarks count as one that is toxic
+            weight = np.append(machine.weight, np.ones(len(landmarks) - len(machine.weight)))
+            machine = Machine(landmarks, weight, machine.bias, machine.curve)
+        rows = _witnesses(training, machine)
+        # all that was worst in documents that are not toxic stays; they have no toxic sentence
+        plain = list(dict.fromkeys([*plain, *((r.row, w) for r in rows if not r.toxic for w in [
+            b" ".join(map(bytes, r.words))])]))
+        bad = [list(map(bytes, r.words)) for r in rows if r.toxic]
+        features = featured([*bad, *_disguised(bad), *(w.split() for _, w in plain)], machine.landmarks)
+        machine = _fitted(machine.landmarks, features, np.repeat(
+            [1, 0], [len(features) - len(plain), len(plain)]))
+        if number + 1 < LANDMARKS // ADDED:  # others may take the place of those without weight
+            use = machine.weight > 1e-3
+            machine = Machine(machine.landmarks[use], machine.weight[use], machine.bias, _NO_CURVE)
+        margin = machine.margins(featured([list(map(bytes, r.words)) for r in rows], machine.landmarks))
+        short = [(r.row, r.toxic, max(0.0, 1 - (m if r.toxic else -m)))
+                 for r, m in zip(rows, margin.tolist())]
+        residuals = spark.createDataFrame(
+            [(row, scale * weigh[t] * s * (1 if t else -1), scale * weigh[t] * (s > 0))
+             for row, t, s in short], "row bigint, pull double, weigh double")
+    rows = _totals(stored.where("apart"), machine)
+    toxic, worst, total, n = (np.array([r[k] for r in rows], float) for k in range(4))
+    if len(set(toxic)) == 2:
+        machine.curve = _curve(_summary(worst, total, n), toxic)
+    return machine
 
 
-def _sample_evidence(sample: DataFrame, machine: Machine) -> DataFrame:
-    """Of each labelled row: its label, its evidence, and its worst word."""
+def sentences(rows: DataFrame, path: str) -> None:
+    """Store the distinct words of each sentence of labelled rows; a row without any has one without."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known: dict[int, float] = {}
         for batch in slices(batches, "text"):
             found = tokens(batch.column("text"))
-            seen = evidence(found, machine, known)
-            worst = []
-            for a, b in zip(found.first[:-1], found.first[1:]):
-                margins = [known.get(h, machine.bias) for h in found.hash[a:b].tolist()]
-                at = a + int(np.argmax(margins)) if margins else None
-                worst.append(b"" if at is None else
-                             found.data[found.begin[at]:found.end[at]].tobytes()[:WIDTH])
+            first = np.flatnonzero(np.diff(found.sentence, prepend=-1))
+            text = np.searchsorted(found.first, first, "right") - 1
+            spelled = spelled_words(found, range(len(found.begin)))
+            ends = np.append(first[1:], len(spelled))
+            without = np.setdiff1d(np.arange(batch.num_rows), text)
+            text = np.concatenate([text, without]).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(text)) for c in ("row", "toxic", "apart")),
+                 pa.array([sorted(set(spelled[a:b])) for a, b in zip(first, ends)]
+                          + [[]] * len(without), pa.list_(pa.binary()))],
+                ["row", "toxic", "apart", "words"])
+
+    rows.select("row", "toxic", "apart", "text").mapInArrow(
+        run, "row bigint, toxic bigint, apart boolean, words array<binary>").write.parquet(path)
+
+
+def featured(found: list[list[bytes]], landmarks: np.ndarray, known: dict | None = None) -> np.ndarray:
+    """The features of sentences, given as lists of words; ``known`` keeps those of words."""
+    known = {} if known is None else known
+    new = sorted({word for words_of in found for word in words_of if word not in known})
+    known.update(zip(new, Likenesses(landmarks).computed(new).astype(np.float64)))
+    none = np.zeros(len(landmarks))
+    return np.array([
+        np.max([known[w] for w in words_of], axis=0) if words_of else none
+        for words_of in found]).reshape(-1, len(landmarks))
+
+
+def _with_margins(stored: DataFrame, machine: Machine) -> DataFrame:
+    """The labelled sentences that have words or whose row has none, with their margins."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        known: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            features = featured(batch.column("words").to_pylist(), machine.landmarks, known)
+            if len(known) > KEPT_WORDS // 8:
+                known.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), batch.column("apart"), *map(pa.array, seen.T.copy()),
-                 pa.array(worst, pa.binary())],
-                ["toxic", "apart", "margin", "sentence", "total", "rate", "word"])
+                [*(batch.column(c) for c in ("row", "toxic", "words")),
+                 pa.array(machine.margins(features))], ["row", "toxic", "words", "margin"])
+
+    return stored.mapInArrow(run, "row bigint, toxic bigint, words array<binary>, margin double")
 
-    return sample.select("text", "toxic", "apart").mapInArrow(
-        run, "toxic bigint, apart boolean, margin double, sentence double, total double, "
-             "rate double, word binary")
+
+def _witnesses(stored: DataFrame, machine: Machine) -> list:
+    """Of each labelled document its worst sentence: row, toxic, margin and words; the driver gets one a
+    document of the sample."""
+    return (
+        _with_margins(stored, machine).groupBy("row")
+        .agg(F.max(F.struct("margin", "words", "toxic")).alias("worst"))
+        .orderBy("row").select("row", "worst.*").collect())
+
+
+def _totals(stored: DataFrame, machine: Machine) -> list:
+    """Of each labelled document: toxic, its worst margin, the sum of 1 + margin over sentences
+    with more than none, and the number of sentences."""
+    return (
+        _with_margins(stored, machine).groupBy("row")
+        .agg(F.first("toxic").alias("toxic"), F.max("margin").alias("worst"),
+             F.sum(F.when(F.size("words") > 0, F.greatest(F.col("margin") + 1, F.lit(0.0)))
+                   .otherwise(0.0)).alias("total"),
+             F.count_if(F.size("words") > 0).alias("n"))
+        .orderBy("row").drop("row").collect())
+
+
+def _disguised(found: list[list[bytes]]) -> list[list[bytes]]:
+    """Sentences as they would be with a letter put into each word, and with one left out, so that
+    the machine draws its margin around such forms too."""
+    result = []
+    for k, sentence in enumerate(found):
+        at = [1 + k % max(1, len(word) - 2) if len(word) > ORDER + 1 else 0 for word in sentence]
+        result.append([w[:i] + b"xqzvj"[k % 5:k % 5 + 1] + w[i:] if i else w for w, i in zip(sentence, at)])
+        result.append([w[:i] + w[i + 1:] if i else w for w, i in zip(sentence, at)])
+    return result
 
 
 def _curve(seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -415,29 +508,28 @@ def _curve(seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return w
 
 
-_machines: dict[bytes, dict[int, float]] = {}
+_known: dict[bytes, Likenesses] = {}
 
 
 def predict(docs: DataFrame, machine: Machine) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score (0 to 1), margin (of its worst word),
-    sentence (the sum of positive margins in its worst sentence).
+    """One row per row of ``docs``: doc_id, score (0 to 1), margin (of its worst sentence, 1 at most).
 
     A null or empty text, and one without letters, scores as words unlike all landmarks do.
     Reads doc_id and text alone and moves no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
-        # margins are kept from task to task, for this machine
-        key = machine.landmarks.tobytes() + machine.weight.tobytes()
-        if key not in _machines:
-            _machines.clear()
-        known = _machines.setdefault(key, {})
+        # likenesses are kept from task to task, for these landmarks
+        key = machine.landmarks.tobytes()
+        if key not in _known:
+            _known.clear()
+            _known[key] = Likenesses(machine.landmarks)
         for batch in slices(batches, "text"):
-            seen = evidence(tokens(batch.column("text")), machine, known)
+            seen = machine.evidence(tokens(batch.column("text")), _known[key])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "score": pa.array(machine.scores(seen)),
-                "margin": pa.array(seen[:, 0].copy()), "sentence": pa.array(seen[:, 1].copy())})
+                "margin": pa.array(seen[:, 0].copy())})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, score double, margin double, sentence double")
+        run, f"doc_id {kind}, score double, margin double")

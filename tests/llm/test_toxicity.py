@@ -82,5 +82,71 @@ def test_one_label_alone(spark, tmp_path):
 
 
 def test_long_words_are_seen_in_windows(machine):
-    margin = machine.margins([b"z" * 40 + b"blockhead" + b"q" * 30, b"z" * 79, b"", b"ab"])
-    assert margin[0] > margin[1] and len(margin) == 4
+    like = tox.Likenesses(machine.landmarks).computed([b"z" * 40 + b"blockhead" + b"q" * 30, b"z" * 79, b"", b"ab"])
+    margin = machine.margins(like.astype(float))
+    assert margin[0] > margin[1] and not like[2:].any()
+
+
+def plain_likeness(word, landmark):
+    word, landmark = ([w.encode() if isinstance(w, str) else w for w in (word, landmark)])
+    own, their = slow_kernel(word, word), slow_kernel(landmark, landmark)
+    return (slow_kernel(word, landmark) / (own * their) ** 0.5) ** tox.SHARPNESS if own and their else 0.0
+
+
+def test_margins_are_those_of_plain_code(machine):
+    """The landmark map and the margin of the worst sentence, word by word."""
+    landmarks = [bytes(row[row > 0]) for row in machine.landmarks]
+    texts = ["the river. you blockhead!", "garden snot nose\nstone", "", None, "grumxbler x"]
+    sentences = [[["the", "river"], ["you", "blockhead"]], [["garden", "snot", "nose"], ["stone"]], [], [],
+                 [["grumxbler", "x"]]]
+    expected = [max([sum(w * max(plain_likeness(word, m) for word in sentence)
+                         for w, m in zip(machine.weight, landmarks)) + machine.bias
+                     for sentence in own], default=machine.bias) for own in sentences]
+    got = machine.evidence(tox.tokens(pa.array(texts)), tox.Likenesses(machine.landmarks, kept=4))
+    assert np.allclose(got[:, 0], np.minimum(expected, 1), atol=2e-2)
+
+
+def test_kept_likenesses_do_not_change_results(machine):
+    texts = [" ".join(random.Random(k).choices(CLEAN + BAD, k=9)) for k in range(30)]
+    whole = machine.evidence(tox.tokens(pa.array(texts)), tox.Likenesses(machine.landmarks))
+    small = tox.Likenesses(machine.landmarks, kept=10)
+    assert np.array_equal(whole, [machine.evidence(tox.tokens(pa.array([t])), small)[0] for t in texts])
+
+
+def test_the_machine_is_the_best_of_its_kind():
+    """No other weights, none negative, have a smaller loss."""
+    rng = np.random.default_rng(0)
+    x, y = rng.random((200, 3)), np.ones(200)
+    y[x[:, 0] + 2 * x[:, 1] + 0.2 * rng.standard_normal(200) < 1.2] = -1
+    kernels = np.eye(3) + 0.1
+    weigh = 10.0 * np.where(y > 0, 0.5 / (y > 0).mean(), 0.5 / (y < 0).mean())
+
+    def loss(w, bias):
+        return w @ kernels @ w + (weigh * np.maximum(1 - y * (x @ w + bias), 0) ** 2).sum()
+
+    w, bias = tox._support_vectors(kernels, x, y, sweeps=5000)
+    best = loss(w, bias)
+    assert (np.sign(x @ w + bias) == y).mean() > 0.85 and (w >= 0).all()
+    for _ in range(500):
+        step = 0.05 * rng.standard_normal(4)
+        assert loss(np.maximum(w + step[:3], 0), bias + step[3]) >= best * (1 - 1e-6)
+
+
+def test_several_labels_of_one_document_count_as_the_greatest(spark, tmp_path):
+    given = spark.createDataFrame([(1, "river"), (2, "stone")], SCHEMA)
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1)], "doc_id bigint, toxic int")
+    alone = tox.fit(given, labels, fresh(tmp_path))
+    assert tox.predict(given, alone).first().score > 0.99
+
+
+def test_texts_without_words_and_landmarks_that_tie(spark, tmp_path):
+    given = spark.createDataFrame([(k, "12 !", k % 2) for k in range(40)], SCHEMA + ", toxic int")
+    empty = tox.fit(given, given, fresh(tmp_path))
+    assert tox.predict(given, empty).first().score == pytest.approx(0.5, abs=0.1)
+    given = spark.createDataFrame(
+        [(k, "river alpha beta gamma" if k % 2 else "river delta omega kappa", k % 2) for k in range(60)],
+        SCHEMA + ", toxic int")
+    one, other = (tox.fit(given.repartition(n), given, fresh(tmp_path)) for n in (1, 4))
+    assert np.array_equal(one.landmarks, other.landmarks)
+    scores = {r.doc_id: r.score for r in tox.predict(given, one).collect()}
+    assert all((scores[k] >= 0.3) == bool(k % 2) for k in scores)
