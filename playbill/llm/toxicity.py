@@ -384,29 +384,31 @@ def _trained(learned: DataFrame, sizes: dict[int, int], work: str, rounds: int)
         -scale * weigh[0]).alias("pull"), F.when(F.col("toxic") == 1, scale * weigh[1]).otherwise(
         scale * weigh[0]).alias("weigh")).distinct()
     machine = Machine(np.zeros((0, LANDMARK_WIDTH), np.uint8), np.zeros(0), 0.0, _NO_CURVE)
-    plain: list[tuple[int, bytes]] = []
+    plain: dict[tuple[int, bytes], np.ndarray] = {}
     for number in range(LANDMARKS // ADDED + rounds):
         if number < LANDMARKS // ADDED:
             landmarks = added(machine.landmarks, steepest(words_of, residuals), ADDED)
+            new = landmarks[len(machine.landmarks):]
+            if len(new):
+                _extended(stored, new).write.parquet(f"{work}/sentences-{number}")
+                stored = spark.read.parquet(f"{work}/sentences-{number}")
+            # until the machine is fitted to them, new landmarks count as one that is toxic
+            machine = Machine(landmarks, np.append(machine.weight, np.ones(len(new))), machine.bias, _NO_CURVE)
             if not len(landmarks):
                 return None
-            # until the machine is fitted to them, new landmarks count as one that is toxic
-            weight = np.append(machine.weight, np.ones(len(landmarks) - len(machine.weight)))
-            machine = Machine(landmarks, weight, machine.bias, machine.curve)
-        rows = _witnesses(training, machine)
+            more = featured([spelled.split() for _, spelled in plain], new)
+            plain = {key: np.append(seen, f) for (key, seen), f in zip(plain.items(), more)}
+        rows = _witnesses(stored.where("not apart"), machine)
+        seen = _unpacked([r.features for r in rows], len(machine.landmarks))
+        toxic = np.array([r.toxic for r in rows])
         # all that was worst in documents that are not toxic stays; they have no toxic sentence
-        plain = list(dict.fromkeys([*plain, *((r.row, w) for r in rows if not r.toxic for w in [
-            b" ".join(map(bytes, r.words))])]))
-        bad = [list(map(bytes, r.words)) for r in rows if r.toxic]
-        features = featured([*bad, *_disguised(bad), *(w.split() for _, w in plain)], machine.landmarks)
-        machine = _fitted(machine.landmarks, features, np.repeat(
-            [1, 0], [len(features) - len(plain), len(plain)]))
-        if number + 1 < LANDMARKS // ADDED:  # others may take the place of those without weight
-            use = machine.weight > 1e-3
-            machine = Machine(machine.landmarks[use], machine.weight[use], machine.bias, _NO_CURVE)
-        margin = machine.margins(featured([list(map(bytes, r.words)) for r in rows], machine.landmarks))
+        plain.update(((r.row, b" ".join(map(bytes, r.words))), f) for r, f in zip(rows, seen) if not r.toxic)
+        disguised = _disguised([list(map(bytes, r.words)) for r in rows if r.toxic])
+        bad = np.concatenate([seen[toxic == 1], featured(disguised, machine.landmarks)])
+        machine = _fitted(machine.landmarks, np.concatenate([bad, *(f[None] for f in plain.values())]),
+                          np.repeat([1, 0], [len(bad), len(plain)]))
         short = [(r.row, r.toxic, max(0.0, 1 - (m if r.toxic else -m)))
-                 for r, m in zip(rows, margin.tolist())]
+                 for r, m in zip(rows, machine.margins(seen).tolist())]
         residuals = spark.createDataFrame(
             [(row, scale * weigh[t] * s * (1 if t else -1), scale * weigh[t] * (s > 0))
              for row, t, s in short], "row bigint, pull double, weigh double")
@@ -414,7 +416,8 @@ def _trained(learned: DataFrame, sizes: dict[int, int], work: str, rounds: int)
     toxic, worst, total, n = (np.array([r[k] for r in rows], float) for k in range(4))
     if len(set(toxic)) == 2:
         machine.curve = _curve(_summary(worst, total, n), toxic)
-    return machine
+    use = machine.weight > 1e-3
+    return Machine(machine.landmarks[use], machine.weight[use], machine.bias, machine.curve) if use.any() else None
 
 
 def sentences(rows: DataFrame, path: str) -> None:
@@ -432,11 +435,35 @@ def sentences(rows: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).take(pa.array(text)) for c in ("row", "toxic", "apart")),
                  pa.array([sorted(set(spelled[a:b])) for a, b in zip(first, ends)]
-                          + [[]] * len(without), pa.list_(pa.binary()))],
-                ["row", "toxic", "apart", "words"])
+                          + [[]] * len(without), pa.list_(pa.binary())),
+                 pa.array([b""] * len(text), pa.binary())],
+                ["row", "toxic", "apart", "words", "features"])
+
+    rows.select("row", "toxic", "apart", "text").mapInArrow(run, _SENTENCES).write.parquet(path)
+
+
+_SENTENCES = "row bigint, toxic bigint, apart boolean, words array<binary>, features binary"
+
+
+def _extended(stored: DataFrame, landmarks: np.ndarray) -> DataFrame:
+    """The sentences with features for more landmarks, packed as 16-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        known: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            more = featured(batch.column("words").to_pylist(), landmarks, known).astype(np.float16)
+            if len(known) > KEPT_WORDS // 8:
+                known.clear()
+            packed = [f.as_py() + m.tobytes() for f, m in zip(batch.column("features"), more)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("row", "toxic", "apart", "words")),
+                 pa.array(packed, pa.binary())], ["row", "toxic", "apart", "words", "features"])
 
-    rows.select("row", "toxic", "apart", "text").mapInArrow(
-        run, "row bigint, toxic bigint, apart boolean, words array<binary>").write.parquet(path)
+    return stored.mapInArrow(run, _SENTENCES)
+
+
+def _unpacked(packed: list[bytes], width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(map(bytes, packed)), np.float16).reshape(-1, width).astype(np.float64)
 
 
 def featured(found: list[list[bytes]], landmarks: np.ndarray, known: dict | None = None) -> np.ndarray:
@@ -451,27 +478,25 @@ def featured(found: list[list[bytes]], landmarks: np.ndarray, known: dict | None
 
 
 def _with_margins(stored: DataFrame, machine: Machine) -> DataFrame:
-    """The labelled sentences that have words or whose row has none, with their margins."""
+    """The labelled sentences with their margins; a row without words has one without."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            features = featured(batch.column("words").to_pylist(), machine.landmarks, known)
-            if len(known) > KEPT_WORDS // 8:
-                known.clear()
+            features = _unpacked(batch.column("features").to_pylist(), len(machine.landmarks))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("row", "toxic", "words")),
-                 pa.array(machine.margins(features))], ["row", "toxic", "words", "margin"])
+                [*(batch.column(c) for c in ("row", "toxic", "words", "features")),
+                 pa.array(machine.margins(features))], ["row", "toxic", "words", "features", "margin"])
 
-    return stored.mapInArrow(run, "row bigint, toxic bigint, words array<binary>, margin double")
+    return stored.mapInArrow(
+        run, "row bigint, toxic bigint, words array<binary>, features binary, margin double")
 
 
 def _witnesses(stored: DataFrame, machine: Machine) -> list:
-    """Of each labelled document its worst sentence: row, toxic, margin and words; the driver gets one a
-    document of the sample."""
+    """Of each labelled document its worst sentence: row, toxic, margin, words and features; the driver
+    gets one a document of the sample."""
     return (
         _with_margins(stored, machine).groupBy("row")
-        .agg(F.max(F.struct("margin", "words", "toxic")).alias("worst"))
+        .agg(F.max(F.struct("margin", "words", "features", "toxic")).alias("worst"))
         .orderBy("row").select("row", "worst.*").collect())
 
 
