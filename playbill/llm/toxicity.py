@@ -39,7 +39,7 @@ LANDMARK_WIDTH = 12
 #: labelled rows learned from at most, of either label, those with the smallest hash
 SAMPLE_ROWS = 6_000
 #: words kept in a process with their likenesses
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 800_000
 BATCH = 4_096
 
 _LETTER = np.zeros(256, bool)
@@ -179,7 +179,7 @@ class Likenesses:
     def __init__(self, landmarks: np.ndarray, kept: int = KEPT_WORDS):
         self.landmarks, self.kept = landmarks, kept
         self.place: dict[int, int] = {}
-        self.rows = np.zeros((0, len(landmarks)), np.float16)
+        self.rows = np.zeros((0, len(landmarks)), np.float32)
 
     def computed(self, found: list[bytes]) -> np.ndarray:
         result = np.zeros((len(found), len(self.landmarks)), np.float32)
@@ -189,7 +189,7 @@ class Likenesses:
             batch = parts[at:at + BATCH]
             symbols = as_symbols([w for _, w in batch], len(batch[-1][1]))
             np.maximum.at(result, [k for k, _ in batch], likeness(symbols, self.landmarks))
-        return result.astype(np.float16)
+        return result
 
     def of(self, found: Tokens) -> np.ndarray:
         """A row for each word."""
@@ -202,7 +202,7 @@ class Likenesses:
                 self.place, new = {}, np.arange(len(keys))
             begin = len(self.place)
             if begin + len(new) > len(self.rows):
-                grown = np.zeros((max(begin + len(new), 2 * begin), len(self.landmarks)), np.float16)
+                grown = np.zeros((max(begin + len(new), 2 * begin), len(self.landmarks)), np.float32)
                 grown[:begin] = self.rows[:begin]
                 self.rows = grown
             self.rows[begin:begin + len(new)] = self.computed(spelled_words(found, which[new]))
@@ -216,7 +216,7 @@ def described(found: Tokens, known: Likenesses) -> tuple[np.ndarray, np.ndarray,
     first = np.flatnonzero(np.diff(found.sentence, prepend=-1))
     if not len(first):
         return np.zeros((0, len(known.landmarks)), np.float32), first, first
-    features = np.maximum.reduceat(known.of(found), first, axis=0).astype(np.float32)
+    features = np.maximum.reduceat(known.of(found), first, axis=0)
     return features, np.searchsorted(found.first, first, "right") - 1, first
 
 
@@ -417,7 +417,11 @@ def _trained(learned: DataFrame, sizes: dict[int, int], work: str, rounds: int)
     if len(set(toxic)) == 2:
         machine.curve = _curve(_summary(worst, total, n), toxic)
     use = machine.weight > 1e-3
-    return Machine(machine.landmarks[use], machine.weight[use], machine.bias, machine.curve) if use.any() else None
+    if not use.any():
+        return None
+    landmarks = machine.landmarks[use]
+    landmarks = landmarks[:, landmarks.any(axis=0)]  # no wider than the longest
+    return Machine(landmarks, machine.weight[use], machine.bias, machine.curve)
 
 
 def sentences(rows: DataFrame, path: str) -> None:
