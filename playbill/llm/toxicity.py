@@ -31,7 +31,7 @@ DECAY = 0.7
 WIDTH = 24
 SHARPNESS = 3
 #: landmarks, and how many are added in a round
-LANDMARKS, ADDED = 40, 8
+LANDMARKS, ADDED = 24, 8
 #: words among which those to add are sought, and the greatest likeness that they may have
 POOL, MOST_ALIKE = 400, 0.3
 #: landmarks are whole words of at most so many bytes
@@ -478,7 +478,7 @@ def featured(found: list[list[bytes]], landmarks: np.ndarray, known: dict | None
     none = np.zeros(len(landmarks))
     return np.array([
         np.max([known[w] for w in words_of], axis=0) if words_of else none
-        for words_of in found]).reshape(-1, len(landmarks))
+        for words_of in found]).reshape(len(found), len(landmarks))
 
 
 def _with_margins(stored: DataFrame, machine: Machine) -> DataFrame:
