@@ -21,10 +21,13 @@ def enrich(
     ``flag=(name, column)`` adds a boolean telling whether ``column`` has a value. This is a
     left join, written as the matches and the rows without any: adaptive execution can
     split a hot key on both sides of an inner join, but only on the left side of a left join. The
-    second join meets each key of ``dim`` once, after partial aggregation.
+    second join meets each key of ``dim`` once, after partial aggregation. Rows without a key are set
+    apart first, so both joins ask for the same rows of ``df`` and share one scan and shuffle of them.
     """
-    matched = df.join(dim, key)
-    alone = df.join(dim.select(key).distinct(), key, "left_anti")
+    keyed, absent = df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+    matched = keyed.join(dim, key)
+    alone = keyed.join(
+        dim.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti").unionByName(absent)
     joined = matched.unionByName(alone, allowMissingColumns=True)
     if flag:
         name, column = flag

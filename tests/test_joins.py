@@ -37,6 +37,15 @@ def test_enrichment_equals_a_left_join(spark, tmp_path):
     assert same_rows(got, plain)
 
 
+def test_matches_and_others_share_one_shuffle(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    facts, dim = _hot_facts(spark, tmp_path)
+    got = enrich(facts, dim.withColumnRenamed("id", "k"), "k")
+    assert got.count() == 60_000
+    got.collect()
+    assert "ReusedExchange" in plan(got).split("Initial Plan")[0]
+
+
 def test_a_hot_key_of_the_dimension_is_split(spark, tmp_path, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
