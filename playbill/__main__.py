@@ -9,14 +9,15 @@
     spark-submit ... playbill/__main__.py suite GOLD OUT
 
 Results are written whole, as CSV with a header: ``query`` and ``corrupt`` to OUT, ``suite`` to a
-folder below it for each query. Without a cluster, ``python -m playbill`` does the same.
+folder below it for each query, where a query that fails does not keep the others from running. Without a cluster, ``python -m playbill`` does the same.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from playbill import SUITE, corrupt_counts, publish_gold, run_all, run_query
 from playbill.schemas import GOLD
@@ -61,6 +62,22 @@ def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def run_suite(spark: SparkSession, out: str) -> None:
+    """Write the result of each named query; one that fails is reported and the others go on.
+
+    Ends with status 1 if none succeeded.
+    """
+    failed = []
+    for name in SUITE:
+        try:
+            _write(run_query(spark, name), f"{out}/{name}")
+        except Exception as error:
+            failed.append(name)
+            print(f"{name} failed: {error}", file=sys.stderr)
+    if len(failed) == len(SUITE):
+        raise SystemExit(1)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     layer = args.bronze if args.job in ("etl", "corrupt") else args.gold
@@ -82,8 +99,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.job == "query":
             _write(run_query(spark, args.name), args.out)
         else:
-            for name in SUITE:
-                _write(run_query(spark, name), f"{args.out}/{name}")
+            run_suite(spark, args.out)
 
 
 if __name__ == "__main__":
