@@ -138,7 +138,9 @@ def fetched(docs: DataFrame, anchors: DataFrame, length: int, run: int, path: st
             keys = [class_of(t)[0] for t in _texts(column)]
             new = np.array([k not in seen for k in keys], bool)
             # of texts alike in one slice, the first
-            new[[i for i, k in enumerate(keys) if keys.index(k) != i]] = False
+            later = np.ones(len(keys), bool)
+            later[np.unique(np.array(keys, np.int64), return_index=True)[1]] = False
+            new[later] = False
             seen.update(keys)
             use &= new[text]
             if not use.any():
