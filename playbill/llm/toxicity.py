@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +97,59 @@ def likeness(symbols: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (kernel(symbols, landmarks) / scale) ** SHARPNESS
 
 
+class Subsequences:
+    """The same kernel against fixed rows, from the subsequences of ORDER bytes that these have.
+
+    A word is looked through for those alone; any other adds nothing to its products with them.
+    """
+
+    def __init__(self, others: np.ndarray):
+        self.base = 1 + len(np.unique(others[others > 0]))
+        self.code = np.zeros(256, np.int32)
+        self.code[np.unique(others[others > 0])] = np.arange(1, self.base)
+        self.number = np.zeros(self.base ** ORDER, np.int32)
+        at, weight = _spans(others.shape[1])
+        codes = self._codes(self.code[others], at)
+        kinds = np.unique(codes[codes > 0])
+        self.number[kinds] = np.arange(1, len(kinds) + 1)
+        self.weights = np.zeros((len(kinds) + 1, len(others)), np.float32)
+        row, place = np.nonzero(codes)
+        np.add.at(self.weights, (self.number[codes[row, place]], row), weight[place])
+
+    def _codes(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """A number for the bytes of each row at each of the places, 0 if one is foreign."""
+        result, known = 0, True
+        for places in at.T:
+            byte = symbols[:, places]
+            result, known = result * self.base + byte, known & (byte > 0)
+        return result * known
+
+    def products(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows that have any such subsequence, and the kernel of each with the fixed rows."""
+        at, weight = _spans(symbols.shape[1])
+        codes = self.code[symbols]
+        rows, values = [], []
+        step = max(1, (1 << 20) // max(1, len(at)))
+        for begin in range(0, len(codes), step):
+            kinds = self.number[self._codes(codes[begin:begin + step], at)]
+            row, place = np.nonzero(kinds)
+            if len(row):
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                rows.append(begin + row[first])
+                values.append(np.add.reduceat(
+                    self.weights[kinds[row, place]] * weight[place, None], first, axis=0))
+        if not rows:
+            return np.zeros(0, np.int64), np.zeros((0, self.weights.shape[1]), np.float32)
+        return np.concatenate(rows), np.concatenate(values)
+
+
+@lru_cache(maxsize=WIDTH + 1)
+def _spans(width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All choices of ORDER places in a row of ``width`` bytes, and the weight of each."""
+    at = np.array([*combinations(range(width), ORDER)], np.int64).reshape(-1, ORDER)
+    return at, (DECAY ** (at[:, -1] - at[:, 0] + 1)).astype(np.float32)
+
+
 def as_symbols(found: list[bytes], width: int) -> np.ndarray:
     result = np.zeros((len(found), width), np.uint8)
     for k, word in enumerate(found):
@@ -162,12 +217,18 @@ def spelled_words(found: Tokens, which: np.ndarray) -> list[bytes]:
     return [raw[found.begin[k]:found.end[k]] for k in which]
 
 
-def windows(word: bytes) -> list[bytes]:
-    """The word, or its overlapping windows if it is longer than WIDTH."""
-    if len(word) <= WIDTH:
-        return [word]
-    half = WIDTH // 2
-    return [word[k:k + WIDTH] for k in range(0, len(word) - half, half)]
+def windows(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words from ``begin`` to ``end``, one longer than WIDTH as windows that overlap by half.
+
+    Returns the word, begin and length of each, the shortest first.
+    """
+    half, length = WIDTH // 2, end - begin
+    count = np.where(length > WIDTH, -(-(length - half) // half), 1)
+    word = np.repeat(np.arange(len(begin)), count)
+    shift = half * (np.arange(len(word)) - np.repeat(np.cumsum(count) - count, count))
+    size = np.minimum(length[word] - shift, WIDTH)
+    order = np.argsort(size, kind="stable")
+    return word[order], (begin[word] + shift)[order], size[order]
 
 
 class Likenesses:
@@ -178,46 +239,75 @@ class Likenesses:
 
     def __init__(self, landmarks: np.ndarray, kept: int = KEPT_WORDS):
         self.landmarks, self.kept = landmarks, kept
-        self.place: dict[int, int] = {}
-        self.rows = np.zeros((0, len(landmarks)), np.float32)
-
-    def computed(self, found: list[bytes]) -> np.ndarray:
-        result = np.zeros((len(found), len(self.landmarks)), np.float32)
-        parts = [(k, w) for k, word in enumerate(found) for w in windows(word) if len(w) >= ORDER]
-        parts.sort(key=lambda part: len(part[1]))
-        for at in range(0, len(parts), BATCH):
-            batch = parts[at:at + BATCH]
-            symbols = as_symbols([w for _, w in batch], len(batch[-1][1]))
-            np.maximum.at(result, [k for k, _ in batch], likeness(symbols, self.landmarks))
+        self.subsequences = Subsequences(landmarks)
+        self.own = kernel(landmarks, landmarks, paired=True)
+        self._clear()
+
+    def _clear(self) -> None:
+        # hashes in order, and which row each has
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.rows = np.zeros((0, len(self.landmarks)), np.float32)
+
+    def computed(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A row for each of the words from ``begin`` to ``end`` of the bytes."""
+        result = np.zeros((len(begin), len(self.landmarks)), np.float32)
+        word, at, size = windows(begin, end)
+        for k in range(int(np.searchsorted(size, ORDER)), len(word), BATCH):
+            batch = slice(k, k + BATCH)
+            place = np.arange(size[batch][-1])
+            inside = place < size[batch, None]
+            symbols = np.where(inside, data[np.where(inside, at[batch, None] + place, 0)], 0)
+            rows, products = self.subsequences.products(symbols)
+            symbols = symbols[rows]
+            scale = np.sqrt(np.maximum(kernel(symbols, symbols, paired=True)[:, None] * self.own, 1e-12))
+            np.maximum.at(result, word[batch][rows], (products / scale) ** SHARPNESS)
         return result
 
-    def of(self, found: Tokens) -> np.ndarray:
-        """A row for each word."""
+    def of_words(self, found: list[bytes]) -> np.ndarray:
+        ends = np.cumsum([0, *map(len, found)])
+        return self.computed(np.frombuffer(b"".join(found), np.uint8), ends[:-1], ends[1:])
+
+    def of(self, found: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """The words that are like any landmark at all, and a row for each."""
         distinct, which, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        place = np.array([self.place.get(h, -1) for h in keys], np.int64)
+        place = self._places(distinct)
         new = np.flatnonzero(place < 0)
         if len(new):
-            if len(self.place) + len(new) > self.kept:
-                self.place, new = {}, np.arange(len(keys))
-            begin = len(self.place)
+            if len(self.keys) + len(new) > self.kept:
+                self._clear()
+                new = np.arange(len(distinct))
+            begin = len(self.keys)
             if begin + len(new) > len(self.rows):
                 grown = np.zeros((max(begin + len(new), 2 * begin), len(self.landmarks)), np.float32)
                 grown[:begin] = self.rows[:begin]
                 self.rows = grown
-            self.rows[begin:begin + len(new)] = self.computed(spelled_words(found, which[new]))
-            place[new] = np.arange(begin, begin + len(new))
-            self.place.update(zip([keys[k] for k in new], place[new].tolist()))
-        return self.rows[place[inverse]]
-
-
-def described(found: Tokens, known: Likenesses) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sentences of texts: their features, the text of each, and the first word of each."""
+            self.rows[begin:begin + len(new)] = self.computed(
+                found.data, found.begin[which[new]], found.end[which[new]])
+            at = np.searchsorted(self.keys, distinct[new])
+            self.keys = np.insert(self.keys, at, distinct[new])
+            self.place = np.insert(self.place, at, np.arange(begin, begin + len(new)))
+            place = self._places(distinct)
+        alike = np.flatnonzero(self.rows[place].any(axis=1)[inverse])
+        return alike, self.rows[place[inverse[alike]]]
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash, -1 if it has none."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, self.place[at], -1)
+
+
+def described(found: Tokens, known: Likenesses) -> tuple[np.ndarray, np.ndarray]:
+    """The sentences of texts: their features, and the text of each."""
     first = np.flatnonzero(np.diff(found.sentence, prepend=-1))
-    if not len(first):
-        return np.zeros((0, len(known.landmarks)), np.float32), first, first
-    features = np.maximum.reduceat(known.of(found), first, axis=0)
-    return features, np.searchsorted(found.first, first, "right") - 1, first
+    features = np.zeros((len(first), len(known.landmarks)), np.float32)
+    alike, rows = known.of(found)
+    if len(alike):
+        sentence = np.searchsorted(first, alike, "right") - 1
+        begin = np.flatnonzero(np.diff(sentence, prepend=-1))
+        features[sentence[begin]] = np.maximum.reduceat(rows, begin, axis=0)
+    return features, np.searchsorted(found.first, first, "right") - 1
 
 
 #: the worst margin alone
@@ -240,7 +330,7 @@ class Machine:
         """Of each text, what ``_summary`` makes of its sentences' margins."""
         n = len(found.first) - 1
         worst, total = np.full(n, self.bias), np.zeros(n)
-        features, text, _ = described(found, known)
+        features, text = described(found, known)
         margin = self.margins(features)
         np.maximum.at(worst, text, margin)
         np.add.at(total, text, np.maximum(1 + margin, 0))
@@ -474,7 +564,7 @@ def featured(found: list[list[bytes]], landmarks: np.ndarray, known: dict | None
     """The features of sentences, given as lists of words; ``known`` keeps those of words."""
     known = {} if known is None else known
     new = sorted({word for words_of in found for word in words_of if word not in known})
-    known.update(zip(new, Likenesses(landmarks).computed(new).astype(np.float64)))
+    known.update(zip(new, Likenesses(landmarks).of_words(new).astype(np.float64)))
     none = np.zeros(len(landmarks))
     return np.array([
         np.max([known[w] for w in words_of], axis=0) if words_of else none

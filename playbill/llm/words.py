@@ -21,6 +21,8 @@ ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range
 
 _ODD = 0x9E3779B97F4A7C15
 _PLACE = 0xD1B54A32D192ED03
+#: places of a word for which the mixed values lie in a table
+_TABLED = 64
 
 
 @dataclass
@@ -51,6 +53,16 @@ def _byte_values() -> np.ndarray:
     return values
 
 
+def _at_places(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A mixed value for each byte and its place in its word."""
+    return mixed(_byte_values()[data] ^ (place.astype(np.uint64) * np.uint64(_PLACE)))
+
+
+@lru_cache(maxsize=1)
+def _near_places() -> np.ndarray:
+    return _at_places(np.tile(np.arange(256), _TABLED), np.repeat(np.arange(_TABLED), 256))
+
+
 def words(data: np.ndarray, begin: np.ndarray, members: np.ndarray) -> Words:
     """Words of texts of which the k-th is ``data[begin[k]:begin[k + 1]]``, hashed without case.
 
@@ -69,9 +81,12 @@ def words(data: np.ndarray, begin: np.ndarray, members: np.ndarray) -> Words:
     starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     origin = np.zeros(n, np.int64)
     origin[starts] = starts
-    place = (np.arange(n) - np.maximum.accumulate(origin)).astype(np.uint64)
+    place = np.arange(n) - np.maximum.accumulate(origin)
+    values = _near_places()[(place & (_TABLED - 1)) << 8 | data]
+    far = np.flatnonzero(place >= _TABLED)
+    values[far] = _at_places(data[far], place[far])
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(mixed(_byte_values()[data] ^ (place * np.uint64(_PLACE))), out=sums[1:])
+    np.cumsum(values, out=sums[1:])
     hashes = sums[ends] - sums[starts]
     return Words(starts, ends, mixed(hashes), np.searchsorted(starts, begin))
 

@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,33 @@ def test_kernel_counts_weighted_subsequences():
     assert np.allclose(tox.kernel(symbols, symbols, paired=True), np.diag(expected), rtol=1e-4)
 
 
+def test_likenesses_from_the_landmarks_subsequences():
+    """As by plain code, windows of long words and bytes that no landmark has included."""
+    rnd = random.Random(3)
+    def weights(word):
+        found = Counter()
+        for at in itertools.combinations(range(len(word)), tox.ORDER):
+            found[bytes(word[k] for k in at)] += tox.DECAY ** (at[-1] - at[0] + 1)
+        return found
+
+    def plain(a, b):
+        a, b = weights(a), weights(b)
+        own, their = (sum(w * w for w in x.values()) for x in (a, b))
+        return (sum(w * b[k] for k, w in a.items()) / (own * their) ** 0.5) ** tox.SHARPNESS if a and b else 0.0
+
+    landmarks = [b"idiot", b"aab", "süß".encode(), b"blockhead", b"to"]
+    found = [bytes(rnd.choices(b"idotablkhexqz", k=rnd.randrange(0, 40))) for _ in range(60)]
+    found += [b"idiot", "süß".encode(), b"", b"zzzz", b"x" * 24 + b"idiot", b"x" * 25 + b"aab", b"a" * 61]
+    got = tox.Likenesses(tox.as_symbols(landmarks, 12)).of_words(found)
+    half = tox.WIDTH // 2
+    for word, row in zip(found, got):
+        parts = [word] if len(word) <= tox.WIDTH else [
+            word[k:k + tox.WIDTH] for k in range(0, len(word) - half, half)]
+        expected = [max(plain(part, landmark) for part in parts) for landmark in landmarks]
+        assert np.allclose(row, expected, rtol=1e-3, atol=1e-5), word
+    assert not tox.Likenesses(tox.as_symbols([b""], 12)).of_words(found).any()
+
+
 def test_inserted_and_missing_letters_stay_alike():
     like = tox.likeness(tox.as_symbols([b"blockhead", b"bloxckhead", b"blckhead", b"blackboard"], 12),
                         tox.as_symbols([b"blockhead"], 12))[:, 0]
@@ -82,7 +110,7 @@ def test_one_label_alone(spark, tmp_path):
 
 
 def test_long_words_are_seen_in_windows(machine):
-    like = tox.Likenesses(machine.landmarks).computed([b"z" * 40 + b"blockhead" + b"q" * 30, b"z" * 79, b"", b"ab"])
+    like = tox.Likenesses(machine.landmarks).of_words([b"z" * 40 + b"blockhead" + b"q" * 30, b"z" * 79, b"", b"ab"])
     margin = machine.margins(like.astype(float))
     assert margin[0] > margin[1] and not like[2:].any()
 
