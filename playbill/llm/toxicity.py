@@ -324,7 +324,7 @@ class Machine:
     curve: np.ndarray
 
     def margins(self, features: np.ndarray) -> np.ndarray:
-        return features @ self.weight + self.bias
+        return _row_sums(features * self.weight) + self.bias
 
     def evidence(self, found: Tokens, known: Likenesses) -> np.ndarray:
         """Of each text, what ``_summary`` makes of its sentences' margins."""
@@ -337,7 +337,12 @@ class Machine:
         return _summary(worst, total, np.bincount(text, minlength=n))
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(_with_one(evidence) @ self.curve, -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(_row_sums(_with_one(evidence) * self.curve), -50, 50)))
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    """Sums whose rounding does not depend on how many rows come together, as that of a product does."""
+    return np.ascontiguousarray(x).sum(axis=1)
 
 
 def _with_one(x: np.ndarray) -> np.ndarray:
