@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill.schemas import Field, Table
+from playbill.session import sized_for
 
 REASON = "reject_reason"
 
@@ -109,16 +110,17 @@ def publish(
         .hint("rebalance", "_bucket")
         .drop("_bucket")
     )
-    if appending:
-        laid_out.sortWithinPartitions(*order).write.insertInto(target)
-    elif layout == "bucketed":
-        laid_out.write.bucketBy(count, key).sortBy(*order).mode("overwrite").format(
-            "parquet").saveAsTable(target)
-    else:
-        laid_out.sortWithinPartitions(*order).write.mode("overwrite").format(
-            "parquet").saveAsTable(target)
-    rejected.write.mode("append" if appending else "overwrite").format("parquet").saveAsTable(
-        quarantine)
+    with sized_for(df):
+        if appending:
+            laid_out.sortWithinPartitions(*order).write.insertInto(target)
+        elif layout == "bucketed":
+            laid_out.write.bucketBy(count, key).sortBy(*order).mode("overwrite").format(
+                "parquet").saveAsTable(target)
+        else:
+            laid_out.sortWithinPartitions(*order).write.mode("overwrite").format(
+                "parquet").saveAsTable(target)
+        rejected.write.mode("append" if appending else "overwrite").format("parquet").saveAsTable(
+            quarantine)
     source_rows = df.count()
     published_rows = _rows(spark, target) - before[0]
     rejected_rows = _rows(spark, quarantine) - before[1]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill.schemas import Table
+from playbill.session import sized_for
 
 
 def read_layer(spark: SparkSession, root: str, table: Table) -> DataFrame:
@@ -37,7 +38,8 @@ def write_layer(
     Each partition value is gathered before the write, so that small values get
     one file. Unlike a plain ``repartition`` on those columns, the
     rebalance hint lets adaptive execution split a value that is too large for
-    one task (one category may hold a third of all credits) into many files.
+    one task (one category may hold a third of all credits) into many files. What a task
+    sorts is bounded, whatever the number of rows.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -46,7 +48,8 @@ def write_layer(
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with sized_for(df):
+        writer.parquet(path)
 
 
 def partition_files(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
