@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from playbill import run_gold, run_silver, workspace
 from playbill import schemas as S
 from playbill.plans.layers import CLEANERS, MART_INPUTS, at_once
-from playbill.sources import write_delimited
+from playbill.sources import write_delimited, write_layer
+
+# raw files made from lines of open orders too
+FROM_LINES = {S.RAW_TITLES, S.RAW_RATINGS, S.RAW_EPISODES}
+
+# most rows of a raw file; it is compressed, so a reader's task takes it whole
+FILE_ROWS = 1_000_000
 
 
 def _text(c: Column) -> Column:
@@ -64,11 +70,13 @@ def _open_lines(given: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def bronze_frames(given: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Raw file name -> its rows."""
+def bronze_frames(
+    given: dict[str, DataFrame], lines: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Raw file name -> its rows; ``lines`` are those of open orders, if they are stored already."""
     order = F.col("o_orderkey")
     line, number = F.col("l_orderkey"), F.col("l_linenumber")
-    lines = _open_lines(given)
+    lines = _open_lines(given) if lines is None else lines
     null = F.lit(None).cast("string")
 
     kind = (F.when(F.col("o_orderstatus") == "F", "movie")
@@ -161,7 +169,8 @@ class Lake:
         self.spark, self.root = spark, root
         self.bronze, self.silver, self.gold = (
             f"{root}/{layer}" for layer in ("bronze", "silver", "gold"))
-        self._frames = bronze_frames(given)
+        self._given = given
+        self._lines: DataFrame | None = None
         self._done: set[str] = set()
         self._lock = threading.RLock()
 
@@ -171,12 +180,21 @@ class Lake:
     def _finish(self, tables: Collection[S.Table]) -> None:
         self._done.update(t.name for t in tables)
 
+    def _frames(self, tables: Collection[S.Table]) -> dict[str, DataFrame]:
+        """Rows of raw ``tables``; lines of open orders are found once and kept, as three files need them."""
+        if self._lines is None and not FROM_LINES.isdisjoint(tables):
+            write_layer(_open_lines(self._given), f"{self.root}/lines")
+            self._lines = self.spark.read.parquet(f"{self.root}/lines")
+        return bronze_frames(self._given, self._lines)
+
     def with_raw(self, *tables: S.Table) -> str:
         """The raw folder, with text files for ``tables``."""
         with self._lock:
             todo = self._missing(tables)
+            frames = self._frames(todo)
             at_once(lambda t: write_delimited(
-                self._frames[t.name].select(*t.columns), f"{self.bronze}/{t.name}"), todo)
+                frames[t.name].select(*t.columns), f"{self.bronze}/{t.name}",
+                compression="lz4", max_rows=FILE_ROWS), todo)
             self._finish(todo)
         return self.bronze
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playbill.schemas import NULL_TOKEN
+from playbill.session import sized_for
 
 
 def read_delimited(
@@ -52,10 +53,17 @@ def write_delimited(
     null_token: str = NULL_TOKEN,
     sep: str = "\t",
     mode: str = "overwrite",
+    compression: str = "none",
+    max_rows: int = 0,
 ) -> None:
-    """Write unquoted text with a header per file, as ``read_delimited`` reads it."""
-    (
+    """Write unquoted text with a header per file, as ``read_delimited`` reads it.
+
+    Compressed files do not split, so give the most rows of one as ``max_rows`` (0: any number).
+    """
+    writer = (
         df.write.mode(mode)
+        .option("compression", compression)
+        .option("maxRecordsPerFile", max_rows)
         .option("header", True)
         .option("sep", sep)
         .option("quote", "")
@@ -63,8 +71,9 @@ def write_delimited(
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    with sized_for(df):
+        writer.csv(path)
 
 
 def corrupt_count(

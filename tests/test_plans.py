@@ -50,6 +50,15 @@ def test_raw_text_equals_its_source(spark, lake):
         assert same_rows(back, expected)
 
 
+def test_lines_of_open_orders_are_found_once(lake):
+    frames = lake._frames(BRONZE)
+    stored = set(frames[RAW_EPISODES.name].inputFiles())
+    assert stored and all(f"{lake.root}/lines/" in f for f in stored)
+    for table in standin.FROM_LINES:
+        read = frames[table.name].inputFiles()
+        assert stored <= set(read) and not any("lineitem" in f for f in read)
+
+
 def test_silver_keeps_what_the_cleaner_gives(spark, lake):
     cleaned = clean_episodes(read_raw(spark, lake.bronze, RAW_EPISODES))
     assert same_rows(read_layer(spark, lake.silver, SILVER_EPISODES), cleaned)

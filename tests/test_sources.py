@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from playbill import session
 from playbill.schemas import Field, Table
 from playbill.sources import (
     null_counts, partition_files, read_delimited, read_layer, register_views,
@@ -124,6 +125,38 @@ def test_one_file_for_small_values_and_many_for_a_large_one(spark, tmp_path, con
     assert by_kind["rare"]["row_count"] == 3_000
 
 
+def test_a_write_bounds_its_tasks_by_itself(spark, tmp_path, conf, monkeypatch):
+    """However large the tasks are that the session asks for; its settings come back."""
+    asked = {session.ADVISORY: "1g", session.SPLIT: "1g", session.PARTITIONS: "2"}
+    for key, value in asked.items():
+        conf(key, value)
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    monkeypatch.setattr(session, "SHUFFLED_SHARE", 64 << 10)
+    monkeypatch.setattr(session, "STORED_SHARE", 16 << 10)
+    spark.range(0, 60_000, numPartitions=8).write.parquet(f"{tmp_path}/given")
+    df = spark.read.parquet(f"{tmp_path}/given").select(
+        F.col("id").cast("int").alias("id"), F.lit("hot").alias("kind"), F.lit("1990").alias("start_decade"))
+    with session.sized_for(df):
+        with session.sized_for(df):
+            pass
+        assert int(spark.conf.get(session.PARTITIONS)) > 2
+        assert spark.conf.get(session.ADVISORY) == f"{64 << 10}b"
+        assert spark.conf.get(session.SPLIT) == f"{session.SCANNED_SHARE}b"
+    write_layer(df, f"{tmp_path}/t", DECADES.partition_by, sort_by=["id"])
+    got = read_layer(spark, str(tmp_path), DECADES)
+    assert [r["file_count"] > 3 for r in partition_files(got, DECADES.partition_by).collect()] == [True]
+    assert same_rows(got, df)
+    assert {key: spark.conf.get(key) for key in asked} == asked
+
+
+def test_compressed_text_lies_in_files_of_bounded_rows(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=2).select(
+        F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 > 0, "a b").alias("title"))
+    write_delimited(df, f"{tmp_path}/t", compression="lz4", max_rows=100)
+    assert len(list((tmp_path / "t").glob("*.lz4"))) == 10
+    assert same_rows(read_delimited(spark, f"{tmp_path}/t", "id string, title string"), df)
+
+
 def test_small_partitions_get_one_file_each(spark, tmp_path):
     df = spark.range(0, 1000, numPartitions=8).select(
         F.col("id").cast("int").alias("id"), (F.col("id") % 5).cast("string").alias("kind"),
