@@ -164,12 +164,15 @@ def top_k(
     (asked.withColumn("block", F.pmod("row", F.lit(max(blocks, 1))).cast("int"))
      .repartition("block").write.partitionBy("block").parquet(f"{work}/queries"))
     schema = "query bigint, query_id bigint, vec_id bigint, score bigint, row bigint"
-    for number in range(blocks):
+    # rows fall into blocks by hash, so one may have none
+    filled = [row["block"] for row in spark.read.parquet(f"{work}/queries").select(
+        "block").distinct().collect()] if blocks else []
+    for number in filled:
         _pass(spark, candidates, f"{work}/queries/block={number}", length, k, schema).write.parquet(
             f"{work}/best/block={number}")
-    if blocks:
+    if filled:
         found = spark.read.schema(schema).parquet(
-            *(f"{work}/best/block={number}" for number in range(blocks)))
+            *(f"{work}/best/block={number}" for number in filled))
     else:
         found = spark.createDataFrame([], schema)
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")

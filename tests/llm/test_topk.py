@@ -86,6 +86,14 @@ def test_few_rows(spark, tmp_path, rows, n):
     assert topk.top_k(docs, fresh(tmp_path)).count() == n
 
 
+def test_blocks_without_queries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BYTES", 1)
+    good = [(k, [float(k % 7)]) for k in range(0, 300, 50)]
+    rows = stored(spark, tmp_path, good, "vec_id bigint, embedding array<float>")
+    got = topk.top_k(rows, fresh(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == plain(good)
+
+
 def test_no_python_collects_all_queries(spark, tmp_path, monkeypatch):
     """Queries of one id, however many, are spread over blocks."""
     monkeypatch.setattr(topk, "QUERY_BYTES", 160)
