@@ -149,6 +149,15 @@ def test_a_write_bounds_its_tasks_by_itself(spark, tmp_path, conf, monkeypatch):
     assert {key: spark.conf.get(key) for key in asked} == asked
 
 
+def test_bytes_of_all_files_that_a_frame_reads(spark, tmp_path):
+    df = spark.range(100).select("id", F.concat(F.lit("a b%:"), F.col("id") % 3).alias("kind"))
+    df.write.partitionBy("kind").parquet(f"{tmp_path}/a folder/t")
+    df.write.parquet(f"{tmp_path}/a folder/other")
+    stored = sum(p.stat().st_size for p in (tmp_path / "a folder" / "t").rglob("*.parquet"))
+    assert session.read_bytes(spark.read.parquet(f"{tmp_path}/a folder/t")) == stored > 0
+    assert session.read_bytes(spark.range(3)) == 0
+
+
 def test_compressed_text_lies_in_files_of_bounded_rows(spark, tmp_path):
     df = spark.range(0, 1000, numPartitions=2).select(
         F.col("id").cast("string").alias("id"), F.when(F.col("id") % 3 > 0, "a b").alias("title"))
